@@ -1,0 +1,20 @@
+"""Broadcast only behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+    """Return ``small`` marked for broadcast when it holds at most ``max_rows`` rows.
+
+    The lookup is persisted and counted once (it is an aggregate, so the count
+    is cheap and the persisted result is reused by the join). Beyond the bound
+    the plain DataFrame is returned and the join stays a shuffle join, which
+    AQE may still demote to broadcast at run time, or split when skewed.
+    """
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small

@@ -26,6 +26,9 @@ class PipelineConfig:
     accepted_categories: tuple[str, ...] = field(default=DEFAULT_ACCEPTED_CATEGORIES)
     # percentile_approx accuracy used only to bracket an exact quantile
     quantile_accuracy: int = 10000
+    # exact quantile plans: "simple" (percentile aggregate) or "bracketed" (skew-split)
+    median_method: str = "simple"
+    cap_method: str = "bracketed"
     # largest lookup (rows) that may be broadcast after its size has been checked
     broadcast_max_rows: int = 1_000_000
     # confidence band multiplier (about an 80 % interval)

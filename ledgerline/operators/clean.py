@@ -53,8 +53,13 @@ def impute_price(df: DataFrame, cfg: PipelineConfig = CFG) -> DataFrame:
     (median over non-null prices, negatives included; a null product_id gets
     no median); rows still without a non-negative price are dropped."""
     bad = F.col("unit_price").isNull() | (F.col("unit_price") < 0)
+    # Spark's percentile keeps one map entry per distinct price of a product
+    # (catalogue price points, not rows), so even a product holding a third
+    # of all lines merges a small map; cfg.median_method="bracketed" switches
+    # to the fully skew-split plan.
     medians = exact_group_quantile(df.where(F.col("product_id").isNotNull()), ["product_id"],
-                                   "unit_price", 0.5, out="_median", accuracy=cfg.quantile_accuracy)
+                                   "unit_price", 0.5, out="_median", accuracy=cfg.quantile_accuracy,
+                                   method=cfg.median_method)
     fixed = (df.where(bad).join(medians, "product_id", "left")
              .withColumn("unit_price", F.col("_median")).drop("_median"))
     return df.where(~bad).unionByName(fixed).where(F.col("unit_price") >= 0)
@@ -89,7 +94,7 @@ def recompute_sales(df: DataFrame) -> DataFrame:
 def category_caps(df: DataFrame, cfg: PipelineConfig = CFG) -> DataFrame:
     """Exact per-category percentile of sales (linear interpolation)."""
     return exact_group_quantile(df, ["category"], "sales", cfg.cap_percentile, out="_cap",
-                                accuracy=cfg.quantile_accuracy)
+                                accuracy=cfg.quantile_accuracy, method=cfg.cap_method)
 
 
 def winsorize(df: DataFrame, cfg: PipelineConfig = CFG, checked: bool = True) -> DataFrame:

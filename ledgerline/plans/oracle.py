@@ -86,6 +86,12 @@ CTES = [
       FROM int_cust c LEFT JOIN cust_attr a ON c.customer_id = a.customer_id"""),
     ("dim_prod", """SELECT CAST(row_number() OVER (ORDER BY product_id NULLS FIRST) AS BIGINT) AS product_key,
         product_id, product_name, category, units_sold, total_revenue FROM int_prod"""),
+    ("dim_date", """SELECT date_day, CAST(extract(day FROM date_day) AS INTEGER) AS day,
+        CAST(extract(month FROM date_day) AS INTEGER) AS month, strftime(date_day, '%B') AS month_name,
+        CAST(extract(quarter FROM date_day) AS INTEGER) AS quarter, CAST(extract(year FROM date_day) AS INTEGER) AS year,
+        CAST(extract(week FROM date_day) AS INTEGER) AS week, strftime(date_day, '%A') AS day_of_week,
+        extract(dow FROM date_day) IN (0, 6) AS is_weekend
+      FROM (SELECT DISTINCT order_date AS date_day FROM stg)"""),
     ("fact", f"""SELECT CAST(row_number() OVER (ORDER BY {', '.join('s.' + c.strip() + ' NULLS FIRST' for c in STG14.split(','))})
           AS BIGINT) AS sale_id,
         s.order_id, s.order_date AS date_key, c.customer_key, p.product_key, s.region, s.country, s.quantity,

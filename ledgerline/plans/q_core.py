@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.functions.materialize import materialize
 from ledgerline.operators import clean as C
 from ledgerline.operators import marts as M
 from ledgerline.operators import profile as P
@@ -15,16 +16,33 @@ from ledgerline.sources.fixture import raw_from_tables
 MONEY_ROW = ("quantity", "unit_price", "sales", "discount")
 
 
+_TABLES: dict[tuple, object] = {}
+
+
+def _memo(spark, d, name, build):
+    key = (id(spark), spark.sparkContext.applicationId, d, name)
+    if key not in _TABLES:
+        _TABLES[key] = materialize(build(), name)
+    return _TABLES[key]
+
+
 def raw_of(spark, d):
-    return raw_from_tables(spark, d)
+    """The dirty raw order lines derived from the driver tables, written once
+    per session as a Parquet table (the raw file of the pipeline)."""
+    return _memo(spark, d, "raw", lambda: raw_from_tables(spark, d))
 
 
 def clean_of(spark, d):
     return C.clean(raw_of(spark, d))
 
 
+def staging_source(spark, d):
+    """The loaded clean table (the load step's output) the models read from."""
+    return _memo(spark, d, "sales_staging", lambda: clean_of(spark, d))
+
+
 def stg_of(spark, d):
-    return M.stg_sales(clean_of(spark, d))
+    return M.stg_sales(staging_source(spark, d))
 
 
 def marts_of(spark, d):
@@ -224,12 +242,7 @@ def dim_product(spark, d):
     return M.dim_product(stg_of(spark, d))
 
 
-@query("dim_date", with_chain("""SELECT date_day, CAST(extract(day FROM date_day) AS INTEGER) AS day,
-    CAST(extract(month FROM date_day) AS INTEGER) AS month, strftime(date_day, '%B') AS month_name,
-    CAST(extract(quarter FROM date_day) AS INTEGER) AS quarter, CAST(extract(year FROM date_day) AS INTEGER) AS year,
-    CAST(extract(week FROM date_day) AS INTEGER) AS week, strftime(date_day, '%A') AS day_of_week,
-    extract(dow FROM date_day) IN (0, 6) AS is_weekend
-  FROM (SELECT DISTINCT order_date AS date_day FROM stg)"""))
+@query("dim_date", with_chain("SELECT * FROM dim_date"))
 def dim_date(spark, d):
     return M.dim_date(stg_of(spark, d))
 

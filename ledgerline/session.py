@@ -17,6 +17,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         b = b.master(master)
     conf = {
+        "spark.driver.memory": os.environ.get("LEDGERLINE_DRIVER_MEMORY", "16g"),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,6 +1,6 @@
 """Import every query module so the registry is complete."""
 
-from ledgerline.plans import q_core, q_report  # noqa: F401
+from ledgerline.plans import q_core, q_forecast, q_report  # noqa: F401
 from ledgerline.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

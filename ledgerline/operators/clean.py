@@ -112,13 +112,14 @@ def winsorize(df: DataFrame, cfg: PipelineConfig = CFG, checked: bool = True) ->
 
 
 def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
-          checked_caps: bool = True) -> DataFrame:
+          checked_caps: bool = True, deduplicated: bool = False) -> DataFrame:
     """All rules CL1-CL15; output keeps the 14 raw columns in their order,
     order_date as DATE and the four numeric columns as DOUBLE.
 
     ``dedup_after=True`` additionally removes rows that became identical after
-    normalization (the original de-duplicates only before it)."""
-    df = dedup(raw)
+    normalization (the original de-duplicates only before it).
+    ``deduplicated=True``: ``raw`` holds distinct rows already (CL1 done)."""
+    df = raw.select(*RAW_COLUMNS) if deduplicated else dedup(raw)
     df = parse_dates(df)
     df = coerce_numbers(df)
     # read four times below (medians: sketch + histogram; good rows; bad rows)

@@ -31,9 +31,17 @@ class QualityGateError(Exception):
     pass
 
 
-def _row_groups(raw: DataFrame) -> DataFrame:
+def row_groups(raw: DataFrame) -> DataFrame:
+    """Distinct raw rows with their multiplicity ``n`` (one shuffle on the full row,
+    combined map-side). The end-to-end job materializes this once and feeds both
+    the quality report and the cleaning (whose first rule is exactly this
+    de-duplication)."""
+    return raw.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _row_groups(raw: DataFrame, grouped: bool = False) -> DataFrame:
     """Distinct raw rows with their multiplicity ``n`` and validity flags."""
-    g = raw.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    g = raw if grouped else row_groups(raw)
     q, p, s = safe_double("quantity"), safe_double("unit_price"), safe_double("sales")
     return g.select(
         "*",
@@ -49,9 +57,11 @@ def _bad_any() -> F.Column:
     return F.col("no_customer") | F.col("bad_quantity") | F.col("bad_unit_price") | F.col("bad_date")
 
 
-def quality_report(raw: DataFrame) -> DataFrame:
-    """QC1-QC13 as one row of bigint columns named as REPORT_KEYS."""
-    g = _row_groups(raw)
+def quality_report(raw: DataFrame, grouped: bool = False) -> DataFrame:
+    """QC1-QC13 as one row of bigint columns named as REPORT_KEYS.
+
+    ``grouped=True``: ``raw`` already is ``row_groups(raw)`` (14 columns + n)."""
+    g = _row_groups(raw, grouped)
 
     def cnt(cond):
         return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")

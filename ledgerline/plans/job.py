@@ -53,10 +53,14 @@ def run(spark: SparkSession, raw: str | DataFrame, out_dir: str, cfg: PipelineCo
 
     raw_df = R.read_raw_csv(spark, raw) if isinstance(raw, str) else raw
     stage("validate", lambda: R.validate_schema(raw_df))
-    report = stage("quality", lambda: Q.enforce_gate(Q.quality_report(raw_df), cfg.gate_threshold))
+    # one full-row shuffle shared by the quality report and the de-duplication
+    groups_path = f"{out_dir}/raw/row_groups"
+    stage("row_groups", lambda: K.write_table(Q.row_groups(raw_df), groups_path))
+    groups = spark.read.parquet(groups_path)
+    report = stage("quality", lambda: Q.enforce_gate(Q.quality_report(groups, grouped=True), cfg.gate_threshold))
 
     staging_path = f"{out_dir}/raw/sales_staging"
-    cleaned = C.clean(raw_df, cfg)
+    cleaned = stage("clean_plan", lambda: C.clean(groups, cfg, deduplicated=True))
     mode = stage("load", lambda: K.write_with_fallback(cleaned, cloud_target, staging_path))
     staging = spark.read.parquet(cloud_target if mode == "target" else staging_path)
     clean_rows = stage("load_count", staging.count)

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The pipeline being rebuilt is batch only (no watermarks, windows over event
+time, state or late data), so no streaming operators exist here. The batch
+functions take any DataFrame, so a ``foreachBatch`` sink can call them on
+micro-batches if a streaming source is ever added.
+"""

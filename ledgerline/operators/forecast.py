@@ -89,8 +89,8 @@ def prepare_series(obs: DataFrame, as_of=None, grain: str = "month") -> DataFram
     s = s.withColumn("y", filled)
 
     if isinstance(as_of, str) and as_of == "latest":
-        cut = obs.agg(F.max("period_start").alias("_cut"))
-        s = s.crossJoin(cut)  # one row
+        # scalar subquery: evaluated once, used as a constant
+        s = s.withColumn("_cut", obs.agg(F.max("period_start")).scalar())
     else:
         today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
         s = s.withColumn("_cut", F.trunc(today, "month") if unit == "month" else today)

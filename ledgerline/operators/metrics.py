@@ -4,7 +4,7 @@ dashboard filters and calendar year-over-year growth.
 
 Top-k lists are ``orderBy(...).limit(k)`` with an id tie-break, which Spark
 plans as a per-partition top-k followed by one small merge (no global sort).
-Scalar KPIs are one-row aggregates joined together (each side one row).
+Scalar KPIs are one-row aggregates combined through scalar subqueries.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ def kpi_scorecard(fact: DataFrame, monthly: DataFrame) -> DataFrame:
     f = fact.agg(money_sum("revenue").alias("total_revenue"),
                  F.count_distinct("order_id").alias("total_orders"),
                  F.count_distinct("customer_key").alias("total_customers"))
-    latest = monthly.agg(F.max_by("mom_growth_pct", "month_start").alias("latest_mom_growth_pct"))
+    latest = monthly.agg(F.max_by("mom_growth_pct", "month_start")).scalar()
     aov = F.round(F.col("total_revenue") / F.when(F.col("total_orders") != 0, F.col("total_orders")), 2)
-    return f.crossJoin(latest).select("total_revenue", "total_orders", aov.alias("avg_order_value"),
-                                      "total_customers", "latest_mom_growth_pct")
+    return f.select("total_revenue", "total_orders", aov.alias("avg_order_value"),
+                    "total_customers", latest.alias("latest_mom_growth_pct"))
 
 
 def new_customers_by_month(int_customers: DataFrame) -> DataFrame:
@@ -47,9 +47,9 @@ def repeat_customers(dim_cust: DataFrame) -> DataFrame:
 
 def revenue_per_customer(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
     """AG18: total revenue / total customers."""
+    cust = dim_cust.agg(F.count(F.lit(1))).scalar()
     rev = fact.agg(money_sum("revenue").alias("total_revenue"))
-    cust = dim_cust.agg(F.count(F.lit(1)).alias("total_customers"))
-    return rev.crossJoin(cust).withColumn(
+    return rev.withColumn("total_customers", cust).withColumn(
         "revenue_per_customer", F.round(F.col("total_revenue") / F.col("total_customers"), 2))
 
 

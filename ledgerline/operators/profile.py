@@ -45,5 +45,5 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 def raw_vs_clean(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """PRF7: raw rows, clean rows and rows dropped, one row."""
     r = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-    c = clean.agg(F.count(F.lit(1)).alias("clean_rows"))
-    return r.crossJoin(c).withColumn("dropped_rows", F.col("raw_rows") - F.col("clean_rows"))
+    c = clean.agg(F.count(F.lit(1))).scalar()
+    return r.withColumn("clean_rows", c).withColumn("dropped_rows", F.col("raw_rows") - F.col("clean_rows"))

@@ -63,8 +63,8 @@ def ingest_metadata(spark: SparkSession, path: str, source: str = "file") -> Dat
     df = read_raw_csv(spark, path)
     meta = files.agg(F.concat_ws(",", F.sort_array(F.collect_list("filename"))).alias("filename"),
                      F.concat_ws(",", F.sort_array(F.collect_list("sha256"))).alias("sha256"))
-    counts = df.agg(F.count(F.lit(1)).alias("row_count"))
-    return (meta.crossJoin(counts)
+    row_count = df.agg(F.count(F.lit(1))).scalar()
+    return (meta.withColumn("row_count", row_count)
             .select(F.lit(source).alias("source"), F.current_timestamp().alias("ingested_at"),
                     "filename", "row_count", F.lit(len(df.columns)).cast("bigint").alias("column_count"),
                     "sha256"))

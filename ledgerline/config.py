@@ -24,8 +24,9 @@ class PipelineConfig:
     min_history: int = 6
     null_rate_warn: float = 0.05
     accepted_categories: tuple[str, ...] = field(default=DEFAULT_ACCEPTED_CATEGORIES)
-    # percentile_approx accuracy used only to bracket an exact quantile
-    quantile_accuracy: int = 10000
+    # percentile_approx accuracy used only to bracket an exact quantile: the
+    # bracket keeps about 6 * n / accuracy values of a group for the exact step
+    quantile_accuracy: int = 100000
     # exact quantile plans: "simple" (percentile aggregate) or "bracketed" (skew-split)
     median_method: str = "simple"
     cap_method: str = "bracketed"

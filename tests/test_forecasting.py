@@ -133,3 +133,41 @@ def test_holt_winters_trend_only_under_two_seasons(spark):
     hist = spark.createDataFrame([("s", i + 1, 50.0 + 3 * i) for i in range(20)], "series string, idx int, y double")
     fit = HW.fitted_parameters(hist).first()
     assert not fit["seasonal"] and fit["gamma"] is None and abs(fit["trend"] - 3.0) < 1e-9
+
+
+def test_vectorised_grid_matches_brute_force(spark):
+    """The vectorised grid search picks the same parameters as a plain loop over
+    every grid point (brute force) on the sf0.001 category series."""
+    import numpy as np
+    from ledgerline.plans.q_core import stg_of
+
+    prep = FC.eligible(FC.prepare_series(FC.period_observations(stg_of(spark, "/root/testdata/sf0.001"),
+                                                                ["category"]), as_of="latest"))
+    got = {r["series"]: r for r in HW.fitted_parameters(prep.select("series", "idx", "y")).collect()}
+    for series in list(got)[:3]:
+        y = np.array([r["y"] for r in prep.where(F.col("series") == series).orderBy("idx").collect()])
+        seasonal, l0, b0, s0, tail = HW._start(y, 12)
+
+        def sse(a, b, g):
+            lv, tr, s, tot = l0, b0, list(s0), 0.0
+            for t, v in enumerate(tail):
+                j = t % 12
+                sc = s[j] if seasonal else 0.0
+                err = v - (lv + tr + sc)
+                tot += err * err
+                l_new = a * (v - sc) + (1 - a) * (lv + tr)
+                tr_new = b * (l_new - lv) + (1 - b) * tr
+                if seasonal:
+                    s[j] = g * (v - lv - tr) + (1 - g) * sc
+                lv, tr = l_new, tr_new
+            return tot
+
+        gam = HW.COARSE if seasonal else [0.0]
+        cands = [(sse(a, b, g), a, b, g) for a in HW.COARSE for b in HW.COARSE for g in gam]
+        _, a1, b1, g1 = min(cands)
+        fine = [(sse(a, b, g), a, b, g) for a in HW._around(a1) for b in HW._around(b1)
+                for g in (HW._around(g1) if seasonal else [0.0])]
+        best_sse, a2, b2, g2 = min(fine)
+        r = got[series]
+        assert (r["alpha"], r["beta"]) == (a2, b2) and (not seasonal or r["gamma"] == g2)
+        assert abs(r["sse"] - best_sse) <= 1e-6 * max(1.0, best_sse)

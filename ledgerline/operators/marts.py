@@ -113,7 +113,8 @@ def fact_measures(stg: DataFrame) -> DataFrame:
     """The fact's measure columns without the surrogate keys: what the daily and
     monthly aggregates read. Joining the dimensions only to drop their keys
     again would cost two shuffles and three checkpoints for nothing."""
-    return stg.select("order_id", F.col("order_date").alias("date_key"), "quantity", F.col("sales").alias("revenue"))
+    return stg.select("order_id", F.col("order_date").alias("date_key"), "customer_id", "product_id", "region",
+                      "country", "quantity", F.col("sales").alias("revenue"))
 
 
 def _ratio_round2(total_dec: str, count: str) -> F.Column:

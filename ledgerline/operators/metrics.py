@@ -16,10 +16,14 @@ from ledgerline.functions.text import money_sum
 
 
 def kpi_scorecard(fact: DataFrame, monthly: DataFrame) -> DataFrame:
-    """AG21: total revenue, orders, average order value, customers, latest MoM growth."""
+    """AG21: total revenue, orders, average order value, customers, latest MoM growth.
+
+    ``fact`` needs order_id, customer_id (or customer_key) and revenue; the
+    measures-only fact (no surrogate keys) is enough."""
+    cust = "customer_id" if "customer_id" in fact.columns else "customer_key"
     f = fact.agg(money_sum("revenue").alias("total_revenue"),
                  F.count_distinct("order_id").alias("total_orders"),
-                 F.count_distinct("customer_key").alias("total_customers"))
+                 F.count_distinct(cust).alias("total_customers"))
     latest = monthly.agg(F.max_by("mom_growth_pct", "month_start")).scalar()
     aov = F.round(F.col("total_revenue") / F.when(F.col("total_orders") != 0, F.col("total_orders")), 2)
     return f.select("total_revenue", "total_orders", aov.alias("avg_order_value"),
@@ -45,9 +49,10 @@ def repeat_customers(dim_cust: DataFrame) -> DataFrame:
         .withColumn("repeat_rate", F.round(F.col("repeat_customers") / F.col("total_customers"), 4))
 
 
-def revenue_per_customer(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    """AG18: total revenue / total customers."""
-    cust = dim_cust.agg(F.count(F.lit(1))).scalar()
+def revenue_per_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
+    """AG18: total revenue / total customers (``customers``: one row per customer,
+    e.g. dim_customer or int_customer_sales)."""
+    cust = customers.agg(F.count(F.lit(1))).scalar()
     rev = fact.agg(money_sum("revenue").alias("total_revenue"))
     return rev.withColumn("total_customers", cust).withColumn(
         "revenue_per_customer", F.round(F.col("total_revenue") / F.col("total_customers"), 2))

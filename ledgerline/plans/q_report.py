@@ -80,8 +80,8 @@ def _marts(spark, d):
   FROM (SELECT {money('revenue')} AS total_revenue, count(DISTINCT order_id) AS total_orders,
                count(DISTINCT customer_key) AS total_customers FROM fact) f"""), ("total_revenue",))
 def kpi_scorecard(spark, d):
-    m = _marts(spark, d)
-    return R.kpi_scorecard(m["fact_sales"], m["sales_monthly"])
+    fact = M.fact_measures(stg_of(spark, d))
+    return R.kpi_scorecard(fact, M.sales_monthly(fact))
 
 
 @query("kpi_new_customers", with_chain("""SELECT CAST(date_trunc('month', first_order_date) AS DATE) AS month_start,
@@ -102,8 +102,8 @@ def kpi_repeat_customers(spark, d):
   FROM (SELECT {money('revenue')} AS total_revenue FROM fact) r, (SELECT count(*) AS total_customers FROM dim_cust) c"""),
        ("total_revenue",))
 def revenue_per_customer(spark, d):
-    m = _marts(spark, d)
-    return R.revenue_per_customer(m["fact_sales"], m["dim_customer"])
+    stg = stg_of(spark, d)
+    return R.revenue_per_customer(M.fact_measures(stg), M.int_customer_sales(stg))
 
 
 @query("revenue_by_category", with_chain(f"""SELECT category, {money('total_revenue')} AS total_revenue,
@@ -115,7 +115,7 @@ def revenue_by_category(spark, d):
 @query("revenue_by_region", with_chain(f"""SELECT region, {money('revenue')} AS total_revenue,
     count(DISTINCT order_id) AS total_orders FROM fact GROUP BY region"""), ("total_revenue",))
 def revenue_by_region(spark, d):
-    return R.revenue_by_region(_marts(spark, d)["fact_sales"])
+    return R.revenue_by_region(M.fact_measures(stg_of(spark, d)))
 
 
 @query("revenue_by_segment_weekday", with_chain(f"""SELECT c.segment, dd.day_of_week, dd.is_weekend,

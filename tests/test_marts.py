@@ -73,3 +73,22 @@ def test_exact_quantile_matches_percentile(spark):
         b = df.groupBy("l_returnflag").agg(F.percentile("l_extendedprice", q).alias("p"))
         diffs = a.join(b, "l_returnflag").where(F.abs(F.col("quantile") - F.col("p")) > 1e-6).count()
         assert diffs == 0
+
+
+def test_hot_key_skew(spark):
+    """One key holding a third of the rows: exact quantile and surrogate keys stay exact."""
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string")))
+        .alias("g"),
+        ((F.col("id") * 7919) % 10007 / 100.0).alias("v"), F.col("id"))
+    a = exact_group_quantile(df, ["g"], "v", 0.99, accuracy=1000)
+    b = df.groupBy("g").agg(F.percentile("v", 0.99).alias("p"))
+    assert a.join(b, "g").where(F.abs(F.col("quantile") - F.col("p")) > 1e-9).count() == 0
+    hot = df.where("g = 'HOT'").select(F.lit("ORD-1").alias("order_id"), "id")   # one order id for 10k rows
+    keyed = surrogate_key(hot, ["order_id", "id"], "k", num_partitions=8)
+    parts = keyed.groupBy(F.spark_partition_id()).count().collect()
+    assert sorted(r["k"] for r in keyed.collect()) == list(range(1, n // 3 + 1))
+    ids = [r["id"] for r in keyed.orderBy("k").collect()]
+    assert ids == sorted(ids)
+    assert len(parts) > 1      # the hot order id is spread by the tie-break column

@@ -111,13 +111,6 @@ def winsorize(df: DataFrame, cfg: PipelineConfig = CFG, checked: bool = True) ->
             .drop("_cap"))
 
 
-def _filled(df: DataFrame, eager: bool) -> DataFrame:
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if eager:
-        df.count()
-    return df
-
-
 def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
           checked_caps: bool = True, deduplicated: bool = False) -> DataFrame:
     """All rules CL1-CL15; output keeps the 14 raw columns in their order,
@@ -129,10 +122,8 @@ def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
     df = raw.select(*RAW_COLUMNS) if deduplicated else dedup(raw)
     df = parse_dates(df)
     df = coerce_numbers(df)
-    # read by three branches below (medians, good rows, bad rows): fill the cache
-    # once, before the branches start (AQE would otherwise launch them together
-    # and each would compute the input)
-    df = _filled(drop_unattributable(df), checked_caps)
+    # read by three branches below (medians, good rows, bad rows)
+    df = drop_unattributable(df).persist(StorageLevel.MEMORY_AND_DISK)
     df = impute_price(df, cfg)
     df = fill_discount(df)
     df = normalize_text(df)
@@ -140,6 +131,6 @@ def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
     if dedup_after:
         df = df.dropDuplicates()
     # two passes: the per-category caps, then applying them
-    df = _filled(df, checked_caps)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     df = winsorize(df, cfg, checked=checked_caps)
     return df.select(*RAW_COLUMNS)

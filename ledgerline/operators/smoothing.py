@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.session import ship_package
+
 MODEL_NAME = "Exponential Smoothing"
 # Fixed search grids: coarse 0.1..0.9 per parameter, then +/- 4 steps of 0.02.
 COARSE = np.round(np.arange(1, 10) * 0.1, 2)
@@ -100,6 +102,7 @@ def fit_series(pdf: pd.DataFrame, m: int = 12) -> pd.DataFrame:
 
 def fit_holt_winters(history: DataFrame, m: int = 12) -> DataFrame:
     """(series, idx, y) -> one fitted row per series (FIT_SCHEMA)."""
+    ship_package(history.sparkSession)
     return (history.select("series", "idx", "y").groupBy("series")
             .applyInPandas(lambda pdf: fit_series(pdf, m), FIT_SCHEMA))
 

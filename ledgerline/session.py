@@ -56,3 +56,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerline`` importable in the Python workers (needed by the one
+    pandas function, the grouped Holt-Winters fit).
+
+    A deployment normally passes the package with ``--py-files``; when it is
+    not already listed there, the package is zipped once per SparkContext and
+    added with ``addPyFile`` (Spark serves the file to every executor)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    listed = sc.getConf().get("spark.submit.pyFiles", "") or ""
+    if "ledgerline" not in listed:
+        import zipfile
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        out = os.path.join(tempfile.mkdtemp(prefix="ledgerline-pyfiles-"), "ledgerline.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+    _SHIPPED.add(app)

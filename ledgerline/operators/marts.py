@@ -168,3 +168,13 @@ def build_marts(stg: DataFrame) -> dict[str, DataFrame]:
         "sales_daily": sales_daily(fact_measures(stg)),
         "sales_monthly": sales_monthly(fact_measures(stg)),
     }
+
+
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """MAT1: expose models as session temp views (view materialization), so SQL
+    users can query ``stg_sales``, ``fact_sales``... with ``spark.sql``."""
+    names = []
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

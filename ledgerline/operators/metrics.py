@@ -15,15 +15,19 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import money_sum
 
 
-def kpi_scorecard(fact: DataFrame, monthly: DataFrame) -> DataFrame:
+def kpi_scorecard(fact: DataFrame, monthly: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """AG21: total revenue, orders, average order value, customers, latest MoM growth.
 
     ``fact`` needs order_id, customer_id (or customer_key) and revenue; the
-    measures-only fact (no surrogate keys) is enough."""
+    measures-only fact (no surrogate keys) is enough. ``approx=True`` counts
+    distinct orders/customers with HyperLogLog++ (``approx_count_distinct``,
+    relative error ``rsd``): one small sketch per task instead of a shuffle of
+    every distinct id."""
     cust = "customer_id" if "customer_id" in fact.columns else "customer_key"
+    distinct = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
     f = fact.agg(money_sum("revenue").alias("total_revenue"),
-                 F.count_distinct("order_id").alias("total_orders"),
-                 F.count_distinct(cust).alias("total_customers"))
+                 distinct("order_id").alias("total_orders"),
+                 distinct(cust).alias("total_customers"))
     latest = monthly.agg(F.max_by("mom_growth_pct", "month_start")).scalar()
     aov = F.round(F.col("total_revenue") / F.when(F.col("total_orders") != 0, F.col("total_orders")), 2)
     return f.select("total_revenue", "total_orders", aov.alias("avg_order_value"),

@@ -88,6 +88,7 @@ def run(spark: SparkSession, raw: str | DataFrame, out_dir: str, cfg: PipelineCo
         stage(f"mart_{name}", lambda name=name, path=path: K.write_table(builders[name](), path))
         tables[name] = spark.read.parquet(path)
         result.paths[name] = path
+    M.register_views(tables)
     tests = stage("data_tests", lambda: X.run_checks(tables, X.default_checks(cfg)).orderBy("check_id").collect())
     result.tests = [r.asDict() for r in tests]
     if not run_forecast:

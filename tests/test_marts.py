@@ -92,3 +92,14 @@ def test_hot_key_skew(spark):
     ids = [r["id"] for r in keyed.orderBy("k").collect()]
     assert ids == sorted(ids)
     assert len(parts) > 1      # the hot order id is spread by the tie-break column
+
+
+def test_views_and_approx_scorecard(spark):
+    stg = M.stg_sales(clean_rows(spark))
+    m = M.build_marts(stg)
+    M.register_views({"fact_sales": m["fact_sales"]}, prefix="t_")
+    assert spark.sql("select count(*) from t_fact_sales").first()[0] == 5
+    exact = R.kpi_scorecard(M.fact_measures(stg), m["sales_monthly"]).first()
+    approx = R.kpi_scorecard(M.fact_measures(stg), m["sales_monthly"], approx=True).first()
+    assert exact["total_orders"] == 4 and exact["total_customers"] == 3
+    assert approx["total_orders"] == 4 and approx["total_customers"] == 3

@@ -27,6 +27,21 @@ from ledgerline.schema import NUMERIC_COLUMNS, RAW_COLUMNS
 
 CFG = PipelineConfig()
 
+# DataFrames persisted by clean(), released by release()
+_PERSISTED: list[DataFrame] = []
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
+def release() -> None:
+    """Unpersist the intermediates cached by clean() (call once its output is written)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def dedup(raw: DataFrame) -> DataFrame:
     """CL1: drop exact full-row duplicates (nulls compare equal)."""
@@ -106,6 +121,7 @@ def winsorize(df: DataFrame, cfg: PipelineConfig = CFG, checked: bool = True) ->
     caps = category_caps(df, cfg)
     if checked:
         caps = checked_broadcast(caps, cfg.broadcast_max_rows)
+        _PERSISTED.append(caps)
     return (df.join(caps, "category", "left")
             .withColumn("sales", F.least(F.col("sales"), F.coalesce(F.col("_cap"), F.col("sales"))))
             .drop("_cap"))
@@ -123,7 +139,7 @@ def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
     df = parse_dates(df)
     df = coerce_numbers(df)
     # read by three branches below (medians, good rows, bad rows)
-    df = drop_unattributable(df).persist(StorageLevel.MEMORY_AND_DISK)
+    df = _persist(drop_unattributable(df))
     df = impute_price(df, cfg)
     df = fill_discount(df)
     df = normalize_text(df)
@@ -131,6 +147,6 @@ def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
     if dedup_after:
         df = df.dropDuplicates()
     # two passes: the per-category caps, then applying them
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = _persist(df)
     df = winsorize(df, cfg, checked=checked_caps)
     return df.select(*RAW_COLUMNS)

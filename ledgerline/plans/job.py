@@ -63,7 +63,7 @@ def run(spark: SparkSession, raw: str | DataFrame, out_dir: str, cfg: PipelineCo
     cleaned = stage("clean_plan", lambda: C.clean(groups, cfg, deduplicated=True))
     mode = stage("load", lambda: K.write_with_fallback(cleaned, cloud_target, staging_path))
     staging = spark.read.parquet(cloud_target if mode == "target" else staging_path)
-    spark.catalog.clearCache()   # the cleaning's persisted intermediates are no longer needed
+    C.release()   # the cleaning's persisted intermediates are no longer needed
     clean_rows = stage("load_count", staging.count)
     result = JobResult(report=report, mode=mode, clean_rows=clean_rows, paths={"sales_staging": staging_path},
                        timings=t)

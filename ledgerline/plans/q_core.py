@@ -23,6 +23,7 @@ def _memo(spark, d, name, build):
     key = (id(spark), spark.sparkContext.applicationId, d, name)
     if key not in _TABLES:
         _TABLES[key] = materialize(build(), name)
+        C.release()   # intermediates cached while building it are no longer needed
     return _TABLES[key]
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerline.functions.materialize import materialize
 from ledgerline.operators import clean as C
 from ledgerline.operators import marts as M
 from ledgerline.operators import profile as P
 from ledgerline.operators import quality as Q
-from ledgerline.plans.oracle import RAW14, STG14, num_sql, with_chain
+from ledgerline.plans.oracle import RAW14, num_sql, with_chain
 from ledgerline.plans.registry import query
 from ledgerline.sources.fixture import raw_from_tables
 

@@ -32,8 +32,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """PRF5: frequency of each value, the null group included."""
-    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    """PRF5: frequency of each value, the null group included, most frequent first."""
+    return (df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.desc("count"), F.asc_nulls_first("value")))
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:

@@ -54,8 +54,10 @@ def empty_raw(spark: SparkSession) -> DataFrame:
 def ingest_metadata(spark: SparkSession, path: str, source: str = "file") -> DataFrame:
     """One row: source, ingest time, file name(s), row/column count, sha256 of the bytes.
 
-    The hash is computed by the executors over the binary file content; the
-    row count is a distributed count of the CSV scan.
+    The hash is computed by the executors over the binary file content, one
+    task per file (so a dataset of many files is hashed in parallel; a single
+    file must stay under the 2 GB binaryFile limit); the row count is a
+    distributed count of the CSV scan.
     """
     files = (spark.read.format("binaryFile").load(path)
              .select(F.element_at(F.split("path", "/"), -1).alias("filename"),

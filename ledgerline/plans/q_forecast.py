@@ -227,3 +227,18 @@ def fc_forecast_total(spark, d):
     monthly = M.sales_monthly(M.fact_measures(stg_of(spark, d)))
     prepared = FC.prepare_series(FC.from_monthly_mart(monthly), as_of="latest")
     return FC.run_forecasting(prepared, CFG, with_smoothing=True)["forecast"]
+
+
+PAIR_OBS = """SELECT customer_id || '|' || product_id AS series, CAST(date_trunc('month', order_date) AS DATE) AS period_start,
+    CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS y FROM stg GROUP BY 1, 2"""
+
+
+@query("fc_skipped_series", with_chain(
+    "SELECT series, max(n) AS n FROM fcp_prep GROUP BY series HAVING max(n) < 6",
+    _prep_ctes("fcp", PAIR_OBS, "month")))
+def fc_skipped_series(spark, d):
+    """FC16 on per-(customer, product) series: the many series whose history is too
+    short to forecast (prepared in parallel, one spine per series)."""
+    prepared = FC.prepare_series(FC.period_observations(stg_of(spark, d), ["customer_id", "product_id"]),
+                                 as_of="latest")
+    return FC.skipped_series(prepared, CFG.min_history)

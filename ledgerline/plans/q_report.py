@@ -178,3 +178,10 @@ def filtered_sales(spark, d):
        ("total_revenue", "prev_year_revenue"))
 def yoy_calendar(spark, d):
     return R.yoy_calendar(M.sales_monthly(M.fact_measures(stg_of(spark, d))))
+
+
+@query("kpi_new_customers_period", with_chain("""SELECT count(*) AS new_customers FROM int_cust
+    WHERE first_order_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""))
+def kpi_new_customers_period(spark, d):
+    """AG16 for one period (a calendar year of the data)."""
+    return R.new_customers_between(M.int_customer_sales(stg_of(spark, d)), "1996-01-01", "1996-12-31")

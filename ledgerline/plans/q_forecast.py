@@ -242,3 +242,37 @@ def fc_skipped_series(spark, d):
     prepared = FC.prepare_series(FC.period_observations(stg_of(spark, d), ["customer_id", "product_id"]),
                                  as_of="latest")
     return FC.skipped_series(prepared, CFG.min_history)
+
+
+def _forecast_ctes(prefix: str, obs_sql: str) -> list[tuple[str, str]]:
+    """The category-series CTE chain re-targeted at another observation table."""
+    import re
+    rename = lambda t: re.sub(r"\bfc_", f"{prefix}_", t)
+    out = [(rename(n), rename(s)) for n, s in FC_CTES]
+    out[0] = (f"{prefix}_obs", obs_sql)
+    return out
+
+
+TOTAL_OBS = "SELECT 'total' AS series, month_start AS period_start, total_revenue AS y FROM monthly"
+TOTAL_CTES = _forecast_ctes("fct", TOTAL_OBS)
+
+
+def _total_prepared(spark, d):
+    monthly = M.sales_monthly(M.fact_measures(stg_of(spark, d)))
+    return FC.prepare_series(FC.from_monthly_mart(monthly), as_of="latest")
+
+
+@query("fc_prepare_total", with_chain("SELECT * FROM fct_prep", TOTAL_CTES), ("y",))
+def fc_prepare_total(spark, d):
+    """SRC6 + FC1: the single total series read from the monthly mart."""
+    return _total_prepared(spark, d)
+
+
+@query("fc_band_total", with_chain("SELECT * FROM fct_band", TOTAL_CTES))
+def fc_band_total(spark, d):
+    """The original single-series flow with the baseline models: compare on the
+    hold-out, select by RMSE, refit on all history, forecast with the band."""
+    prepared = FC.eligible(_total_prepared(spark, d))
+    split = FC.chronological_split(prepared, CFG.test_fraction)
+    best = FC.select_best(FC.evaluate(FC.holdout_predictions(split, K, S)))
+    return FC.generate_forecast(prepared, best, H, K, S, CFG.band_z, with_smoothing=False, with_generated_at=False)

@@ -55,3 +55,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.decision_list import judge
+    out = judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                      "n_repeat_words", "base_failed", "kept")

@@ -63,3 +63,32 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS hex FROM p),
+bits AS (SELECT page_id, n, hex, list_reduce(list_prepend('', list_transform(string_split(hex, ''), lambda c:
+           lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0'))), lambda a, c: a || c) AS bits FROM d),
+e AS (SELECT page_id, n, hex, list_reduce(list_prepend('', list_transform(range(0, 32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(0, 5), lambda j:
+        CAST(substr(bits, CAST(i * 5 + j + 1 AS BIGINT), 1) AS INT) * (16 >> CAST(j AS INT)))) AS BIGINT), 1))),
+        lambda a, c: a || c) AS digest FROM bits),
+m AS (SELECT hex, max(page_id) AS last FROM e GROUP BY hex)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN last IS NOT NULL AND (page_id IS NULL OR page_id < last) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last IS NOT NULL AND (page_id IS NULL OR page_id < last) THEN last END AS refers_to
+FROM e JOIN m USING (hex)
+"""
+
+
+@query("op1_warc", WARC_SQL)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.common import Scratch
+    from ledgerline.llm.warc import read_records, write_archives
+    path = Scratch(spark, "warc").path("archive")
+    write_archives(read(spark, sf_dir, "pages"), path)
+    out = read_records(spark, path, payloads=False)
+    number = lambda c: F.regexp_extract(c, "^<urn:page:([0-9-]+)[:>]", 1).try_cast("long")
+    return out.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      number("refers_to").alias("refers_to"))

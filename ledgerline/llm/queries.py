@@ -92,3 +92,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = lambda c: F.regexp_extract(c, "^<urn:page:([0-9-]+)[:>]", 1).try_cast("long")
     return out.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       number("refers_to").alias("refers_to"))
+
+
+def _license_sql() -> str:
+    from ledgerline.llm.licenses import oracle_sql
+    return oracle_sql()
+
+
+@query("op10_license_scan", _license_sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.licenses import scan
+    return scan(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -103,3 +103,14 @@ def _license_sql() -> str:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.licenses import scan
     return scan(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def _url_sql() -> str:
+    from ledgerline.llm.url_filter import oracle_sql
+    return oracle_sql()
+
+
+@query("op8_url_filter", _url_sql())
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.url_filter import judge
+    return judge(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")

@@ -114,3 +114,9 @@ def _url_sql() -> str:
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.url_filter import judge
     return judge(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.packing import pack
+    return pack(read(spark, sf_dir, "documents"))

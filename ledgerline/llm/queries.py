@@ -120,3 +120,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.packing import pack
     return pack(read(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.langid import held_out, predict
+    out = predict(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

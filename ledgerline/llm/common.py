@@ -19,6 +19,8 @@ from ledgerline.session import ensure_checkpoint_dir, ship_package
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_GAPS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 _U = np.uint64
 _GOLD, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
@@ -56,9 +58,15 @@ def python_ready(spark: SparkSession) -> None:
 
 
 def words_column(text: Column) -> Column:
-    """The words of a text; a null text has none."""
-    lowered = F.translate(text, UPPER, LOWER)
-    return F.coalesce(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """The words of a text; a null text has none. One pass lower-cases A-Z and
+    blanks what is no word, which is cheaper than matching words."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), UPPER + _GAPS, LOWER + " " * len(_GAPS))
+    return F.array_remove(F.split(spaced, " "), "")
+
+
+def word_count(text: Column) -> Column:
+    """The number of words (case does not matter for it)."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), NO_WORD), ""))
 
 
 def content_key(text: Column) -> Column:

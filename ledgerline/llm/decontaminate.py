@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Scratch, content_key, let, upto, words_column
+from ledgerline.llm.common import Scratch, content_key, let, upto, word_count, words_column
 
 SPAN, K = 10, 5
 #: Up to so many distinct benchmark windows are broadcast (about 150 bytes each); beyond, all joins shuffle.
@@ -118,7 +118,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int =
     found = scratch.table(found.select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), covered_spans(F.col("at")).alias(
         "spans"), F.array_sort(F.array_distinct(F.flatten("sets"))).alias("items")), "found")
     rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("string").alias("k1"), content_key(text).alias("k2"),
-                       F.size(words_column(text)).cast("long").alias("n_words"), F.struct(*carry).alias("own"))
+                       word_count(text).cast("long").alias("n_words"), F.struct(*carry).alias("own"))
     out = rows.join(found, (F.col("k2") == F.col("f2")) & F.col("k1").eqNullSafe(F.col("f1")), "left")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + (x["b"] - x["a"]).cast("long"))
     return out.select("id", "n_words", F.coalesce(hit, F.lit(0).cast("long")).alias("n_hit"),

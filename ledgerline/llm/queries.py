@@ -127,3 +127,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.langid import held_out, predict
     out = predict(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.suffix_dedup import remove_repeats
+    out = remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -134,3 +134,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.suffix_dedup import remove_repeats
     out = remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op4_minhash_near_dedup")
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.bagminhash import near_duplicates
+    out = near_duplicates(read(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")

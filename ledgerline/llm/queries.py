@@ -141,3 +141,12 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.bagminhash import near_duplicates
     out = near_duplicates(read(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.passages import find_passages
+    out = find_passages(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + (x["b"] - x["a"]))
+    return out.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_words", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), "spans")

@@ -81,6 +81,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 # Every known sentence has one of these; a text without any needs no cutting.
 ANCHOR = "(?i)licen[cs]e|copyright|warrant|permission|redistribut|free software"
 OPENERS = "\\n([^A-Za-z0-9\\n]*)(Licensed under|Released under|This work is|This program is|Permission is|Redistribution|SPDX|Copyright)"
+SPDX = "SPDX-License-Identifier:([^\\n]*)"  # a line of its own
 SENTENCE_END, BLANK_LINE = "[.!?:;]+([ \\t\\n\\r\\f\\x0B]+|$)", "\\n[^A-Za-z0-9\\n]*\\n"
 MARK = "\x1e"
 
@@ -99,7 +100,7 @@ def known() -> dict[str, str]:
 def sentence_ids(text: Column) -> Column:
     """The known sentences of a text, in order, as '<A><B>..'."""
     t = F.regexp_replace(F.concat(F.lit("\n"), text), OPENERS, f"{MARK}$1$2")
-    t = F.regexp_replace(F.regexp_replace(t, "SPDX-License-Identifier:", "SPDX-License-Identifier "), BLANK_LINE, MARK)
+    t = F.regexp_replace(F.regexp_replace(t, SPDX, f"SPDX-License-Identifier $1{MARK}"), BLANK_LINE, MARK)
     t = F.translate(F.regexp_replace(t, SENTENCE_END, MARK), UPPER, LOWER)
     ids = F.create_map(*[F.lit(x) for kv in known().items() for x in kv])
     names = F.transform(F.split(t, MARK), lambda s: F.try_element_at(
@@ -141,16 +142,14 @@ def oracle_sql() -> str:
         steps.append((name, f"replace({prev}, {q(part)}, '|')", f"(len({prev}) - len(replace({prev}, {q(part)}, ''))) // {len(part)}"))
         prev = f"s{i}"
     ctes = ",\n".join(f"r{i} AS (SELECT *, {st[1]} AS s{i}, {st[2]} AS c{i} FROM {'a' if i == 0 else f'r{i - 1}'})" for i, st in enumerate(steps))
-    names = list(dict.fromkeys(n for n, _ in RULES))
     n = len(RULES)
     pick = ", ".join(f"CASE WHEN c{i} > 0 THEN {q(RULES[i][0])} END" for i in range(n))
     lists = f"list_filter([{pick}], lambda x: x IS NOT NULL)"
     first = f"list_filter({lists}, lambda x, i: list_position({lists}, x) = i)"
-    del names
     return f"""
 WITH t AS (SELECT doc_id, regexp_matches(coalesce(text, ''), {q(re_(ANCHOR))}, 'i') AS has,
   regexp_replace(chr(10) || coalesce(text, ''), {q(OPENERS)}, chr(30) || '\\1\\2', 'g') AS x FROM documents),
-u AS (SELECT doc_id, has, regexp_replace(replace(x, 'SPDX-License-Identifier:', 'SPDX-License-Identifier '), {q(BLANK_LINE)}, chr(30), 'g') AS x FROM t),
+u AS (SELECT doc_id, has, regexp_replace(regexp_replace(x, {q(SPDX)}, 'SPDX-License-Identifier \\1' || chr(30), 'g'), {q(BLANK_LINE)}, chr(30), 'g') AS x FROM t),
 v AS (SELECT doc_id, has, translate(regexp_replace(x, {q(SENTENCE_END)}, chr(30), 'g'), '{UPPER}', '{LOWER}') AS x FROM u),
 n AS (SELECT doc_id, has, list_transform(string_split(x, chr(30)), lambda s: array_to_string(regexp_extract_all(s, {q(WORD)}), ' ')) AS k FROM v),
 a AS (SELECT doc_id, CASE WHEN has THEN coalesce(array_to_string(list_transform(list_filter(list_transform(k, lambda s:

@@ -12,8 +12,13 @@ two or more.
   mean that all windows of the run repeat: copies, however many, are settled
   here by a count that is pre-aggregated before the shuffle.
 * Only where one minimiser has several different contexts, one run of each is
-  cut into its windows, which are sorted by two more digits of half a window
-  each. These counts are pre-aggregated too; no group is gathered anywhere.
+  cut into *cells* of ``cell`` neighbouring windows (aligned to the minimiser).
+  Digit 2 is a cell's core, the bytes that all its windows share: a cell whose
+  core occurs in no other context has no repeated window. Digit 3 is all its
+  bytes: equal cells repeat as a whole. Digit 4, for the few cells left (the
+  ends of repeated passages), is the single window.
+
+All counts are pre-aggregated before the shuffle; no group is gathered anywhere.
 
 Digits are 64-bit fingerprints of bytes (two windows are taken as equal when
 minimiser and all digits agree). Bytes are judged on the input and removed
@@ -37,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Scratch, free_shuffles, mix, powers, prefix_hash, python_ready, slices, string_buffer, signed
 
-THRESHOLD, GRAM, PIECE = 400, 200, 1 << 21
+THRESHOLD, CELL, PIECE = 400, 10, 1 << 21
 _U = np.uint64
 _LOW = _U((1 << 24) - 1)
 
@@ -54,10 +59,11 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(left[:n], right[w - 1: w - 1 + n])
 
 
-def runs(buf: np.ndarray, off: np.ndarray, threshold: int = THRESHOLD, k: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(row, first window, windows, minimiser, context) of every run of the rows."""
+def runs(buf: np.ndarray, off: np.ndarray, threshold: int = THRESHOLD, k: int = THRESHOLD // 2) -> tuple[np.ndarray, ...]:
+    """(row, first window, windows, place of the minimiser in the first window,
+    minimiser, context) of every run of the rows."""
     n = len(buf)
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     if n < threshold:
         return none
     s = prefix_hash(buf.astype(np.uint64) + _U(1))
@@ -79,11 +85,11 @@ def runs(buf: np.ndarray, off: np.ndarray, threshold: int = THRESHOLD, k: int =
     with np.errstate(over="ignore"):
         c = mix((s[last + threshold] - s[first]) * inv[first])
         c = mix(c + ((last - first) << 24 | (a - first)).astype(np.uint64))
-    return row[first], first - off[row[first]], last - first + 1, h[a], c
+    return row[first], first - off[row[first]], last - first + 1, a - first, h[a], c
 
 
 def _run_rows(threshold: int, k: int) -> Callable:
-    names = ["r1", "r2", "first", "n", "h", "c"]
+    names = ["r1", "r2", "first", "n", "o", "h", "c"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -93,44 +99,80 @@ def _run_rows(threshold: int, k: int) -> Callable:
                 step = len(buf) if b.num_rows > 1 else PIECE  # one long text goes in overlapping pieces
                 for lo in range(0, max(len(buf), 1), max(step, 1)):
                     part = buf[lo: lo + step + (threshold - 1 if b.num_rows == 1 else 0)]
-                    row, first, n, h, c = runs(part, off if b.num_rows > 1 else np.array([0, len(part)]), threshold, k)
+                    row, first, n, o, h, c = runs(part, off if b.num_rows > 1 else np.array([0, len(part)]), threshold, k)
                     if len(row):
                         yield pa.record_batch([pa.array(x) for x in (
-                            r1[row], r2[row], first + lo, n, signed(h), signed(c))], names)
+                            r1[row], r2[row], first + lo, n, o, signed(h), signed(c))], names)
     return run
 
 
-RUN = "r1 long, r2 long, first long, n long, h long, c long"
-
+RUN = "r1 long, r2 long, first long, n long, o long, h long, c long"
 
-def _window_rows(threshold: int) -> Callable:
-    """(text, contexts) -> (h, c, j, d1, d2) of every window of the contexts."""
-    half = threshold // 2
 
+def _context_rows(threshold: int) -> Callable:
+    """(text, places) -> the bytes of each context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out, size = [], 0
             for text, ctx in zip(b.column(0), b.column(1)):
-                data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                for x in ctx.as_py():
-                    n, first = x["n"], x["first"]
-                    s = prefix_hash(data[first: first + n + threshold - 1].astype(np.uint64) + _U(1))
-                    inv, j = powers(n + threshold)[1], np.arange(n)
-                    with np.errstate(over="ignore"):
-                        d1 = mix((s[j + half] - s[j]) * inv[j])
-                        d2 = mix((s[j + threshold] - s[j + half]) * inv[j + half])
-                    out.append((np.full(n, x["h"]), np.full(n, x["c"]), j, signed(d1), signed(d2)))
-                    size += n
-                    if size > 50_000:
-                        yield _columns(out)
-                        out, size = [], 0
+                data, rows = (text.as_py() or "").encode(), ctx.as_py()
+                for i in range(0, len(rows), 4000):
+                    part = rows[i: i + 4000]
+                    yield pa.record_batch([pa.array([x[f] for x in part], pa.int64()) for f in ("h", "c", "o", "n")] + [pa.array(
+                        [data[x["first"]: x["first"] + x["n"] + threshold - 1] for x in part], pa.binary())], ["h", "c", "o", "n", "bytes"])
+    return run
+
+
+def _sums(s: np.ndarray, inv: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Fingerprints of the bytes [a, b)."""
+    with np.errstate(over="ignore"):
+        return signed(mix((s[b] - s[a]) * inv[a] + (b - a).astype(np.uint64)))
+
+
+def _cell_rows(threshold: int, cell: int) -> Callable:
+    """Contexts -> (h, c, i, j, n, core, whole): cell i has the n windows from j."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for h, c, o, n, data in zip(*(x.to_pylist() for x in b.columns)):
+                s, inv = prefix_hash(np.frombuffer(data, np.uint8).astype(np.uint64) + _U(1)), powers(len(data))[1]
+                i = np.arange(o // cell, (o - n + 1) // cell - 1, -1)  # the minimiser is o bytes into the first window
+                j = np.maximum(o - (i * cell + cell - 1), 0)
+                end = np.minimum(o - i * cell, n - 1)
+                core = o - i * cell
+                out.append((np.full(len(i), h), np.full(len(i), c), i, j, end - j + 1,
+                            _sums(s, inv, core, core - (cell - 1) + threshold), _sums(s, inv, j, end + threshold)))
             if out:
-                yield _columns(out)
+                yield _columns(out, ["h", "c", "i", "j", "n", "core", "whole"])
     return run
 
 
-def _columns(out: list) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], ["h", "c", "j", "d1", "d2"])
+def _window_rows(threshold: int) -> Callable:
+    """(context, cells) -> (h, c, j, at, window, open) of every window of the cells."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for h, c, o, data, cells in zip(*(x.to_pylist() for x in b.columns)):
+                s, inv = prefix_hash(np.frombuffer(data, np.uint8).astype(np.uint64) + _U(1)), powers(len(data))[1]
+                j = np.concatenate([np.arange(x["j"], x["j"] + x["n"]) for x in cells])
+                open_ = np.repeat([x["open"] for x in cells], [x["n"] for x in cells])
+                out.append((np.full(len(j), h), np.full(len(j), c), j, o - j, _sums(s, inv, j, j + threshold), open_))
+            if out:
+                yield _columns(out, ["h", "c", "j", "at", "window", "open"])
+    return run
+
+
+def _columns(out: list, names: list[str]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out)], names)
+
+
+def _shared(rows: DataFrame, digits: list[str], name: str, scratch: Scratch) -> DataFrame:
+    """The digit groups (columns x_<digit>, least) that two contexts share."""
+    g = rows.groupBy(*digits).agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least != most")
+    return scratch.table(g.select(*[F.col(d).alias(f"x_{d}") for d in digits], "least"), name)
+
+
+def _on(digits: list[str]):
+    return F.expr(" AND ".join(f"{d} = x_{d}" for d in digits))
 
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<a:bigint,b:bigint>>, kept string"
@@ -167,7 +209,7 @@ def _cutter(keep_text: bool) -> Callable:
     return cut
 
 
-def repeated_spans(docs: DataFrame, threshold: int, k: int, scratch: Scratch) -> DataFrame:
+def repeated_spans(docs: DataFrame, threshold: int, k: int, cell: int, scratch: Scratch) -> DataFrame:
     """(r1, r2, spans): for each document reference the byte ranges (a, b) of
     its repeated windows. ``docs`` has r1, r2 and text."""
     spark = docs.sparkSession
@@ -179,43 +221,59 @@ def repeated_spans(docs: DataFrame, threshold: int, k: int, scratch: Scratch) ->
     free_shuffles(spark)
     again = scratch.table(rows.join(twice, F.col("h") == F.col("h0"), "left_semi"), "again")
     scratch.drop("runs")
-    free_shuffles(spark)
+    scratch.drop("twice")
     # digit 1: contexts; one place of each stands for all
-    ctx = again.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("r1", "r2", "first", "n")).alias("at"))
+    ctx = again.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("r1", "r2", "first", "n", "o")).alias("at"))
     ctx = scratch.table(ctx, "contexts")
     several = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("h").alias("h0"))
-    mixed = scratch.table(ctx.join(several, F.col("h") == F.col("h0"), "left_semi"), "mixed")
-    # digits 2 and 3: the windows of contexts that share a minimiser and differ
-    places = mixed.select("h", "c", "at.*").groupBy("r1", "r2").agg(F.collect_list(F.struct("first", "n", "h", "c")).alias("ctx"))
-    places = places.withColumnsRenamed({"r1": "p1", "r2": "p2"})
+    mixed = ctx.join(scratch.table(several, "several"), F.col("h") == F.col("h0"), "left_semi")
+    places = mixed.select("h", "c", "at.*").groupBy(F.col("r1").alias("p1"), F.col("r2").alias("p2")).agg(
+        F.collect_list(F.struct("first", "n", "o", "h", "c")).alias("ctx"))
     text = docs.select("r1", "r2", "text").where(F.octet_length("text") >= threshold)
     text = text.join(scratch.table(places, "places"), (F.col("r1") == F.col("p1")) & (F.col("r2") == F.col("p2")))
-    windows = scratch.table(text.select("text", "ctx").mapInArrow(_window_rows(threshold), "h long, c long, j long, d1 long, d2 long"),
-                            "windows")
+    data = text.select("text", "ctx").mapInArrow(_context_rows(threshold), "h long, c long, o long, n long, bytes binary")
+    data = scratch.table(data, "data")
+    scratch.drop("places")
+    free_shuffles(spark)
+    # digits 2 and 3: the cores and the bytes of cells
+    cells = scratch.table(data.mapInArrow(_cell_rows(threshold, cell), "h long, c long, i long, j long, n long, core long, whole long"), "cells")
+    core, whole = ["h", "i", "core"], ["h", "i", "whole"]
+    cells = cells.join(_shared(cells, core, "cores", scratch), _on(core), "left_semi")
+    cells = scratch.table(cells, "live")
+    cells = cells.join(_shared(cells, whole, "wholes", scratch), _on(whole), "left").drop("x_h", "x_i", "x_whole")
+    cells = scratch.table(cells, "marked")  # least: the context that speaks for equal cells, null for a cell of its own
+    free_shuffles(spark)
+    # digit 4: single windows of the cells left, compared with one of each kind that has their core
+    left = scratch.table(cells.where("least IS NULL").select(*[F.col(d).alias(f"x_{d}") for d in core]).distinct(), "open")
+    part = cells.where("least IS NULL OR least = c").join(left, _on(core), "left_semi").groupBy(
+        F.col("h").alias("x_h"), F.col("c").alias("x_c")).agg(
+        F.collect_set(F.struct("j", "n", F.col("least").isNull().alias("open"))).alias("cells"))
+    windows = data.join(scratch.table(part, "parts"), _on(["h", "c"])).select("h", "c", "o", "bytes", "cells")
+    windows = scratch.table(windows.mapInArrow(_window_rows(threshold), "h long, c long, j long, at long, window long, open boolean"), "windows")
+    digits = ["h", "at", "window"]
+    equal = windows.where("open").join(_shared(windows, digits, "equal", scratch), _on(digits), "left_semi")
+    # back to the documents: whole runs, whole cells, single windows
+    kind = F.struct(F.col("j").alias("a"), (F.col("j") + F.col("n") + (threshold - 1)).alias("b"))
+    own = cells.where("least IS NOT NULL").select("h", "c", kind.alias("s")).union(
+        equal.withColumn("n", F.lit(1)).select("h", "c", kind.alias("s")))
+    own = own.groupBy(F.col("h").alias("x_h"), F.col("c").alias("x_c")).agg(F.collect_set("s").alias("s"))
+    alone = ctx.where("m = 1").select("h", "c")
+    whole_runs = ctx.where("m > 1").select(F.col("h").alias("x_h"), F.col("c").alias("x_c"), F.array(
+        F.struct(F.lit(0).cast("long").alias("a"), (F.col("at.n") + (threshold - 1)).alias("b"))).alias("s"))
+    found = scratch.table(own.join(alone, _on(["h", "c"]), "left_semi").unionByName(whole_runs), "found")
+    for old in ("cells", "live", "marked", "windows", "data", "contexts", "parts"):
+        scratch.drop(old)
     free_shuffles(spark)
-    windows = windows.distinct()  # repeated rows give the same window of the same context again
-    for i, digits in enumerate((["h", "d1"], ["h", "d1", "d2"])):
-        group = windows.groupBy(*digits).agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(
-            *[F.col(d).alias(f"x_{d}") for d in digits])
-        group = scratch.table(group, f"groups{i}")
-        windows = scratch.table(windows.join(group, [F.col(d) == F.col(f"x_{d}") for d in digits], "left_semi"), f"pass{i}")
-    # back to the documents: whole runs, and windows of contexts that stand alone
-    own = windows.groupBy(F.col("h").alias("h0"), F.col("c").alias("c0")).agg(F.collect_set("j").alias("js"))
-    found = ctx.where("m > 1").select(F.col("h").alias("h0"), F.col("c").alias("c0"), F.lit(None).cast("array<bigint>").alias("js"))
-    found = found.unionByName(own.join(ctx.where("m = 1").select(F.col("h").alias("h1"), F.col("c").alias("c1")),
-                                       (F.col("h0") == F.col("h1")) & (F.col("c0") == F.col("c1")), "left_semi"))
-    found = scratch.table(found, "found")
-    hit = again.join(found, (F.col("h") == F.col("h0")) & (F.col("c") == F.col("c0")))
-    spans = F.when(F.col("js").isNull(), F.array(F.struct(F.col("first").alias("a"), (F.col("first") + F.col("n") + (threshold - 1)).alias("b")))
-                   ).otherwise(F.transform("js", lambda j: F.struct((F.col("first") + j).alias("a"), (F.col("first") + j + threshold).alias("b"))))
-    out = hit.select("r1", "r2", spans.alias("s")).groupBy("r1", "r2").agg(F.flatten(F.collect_set("s")).alias("spans"))
-    out = scratch.table(out, "spans")
+    hit = again.join(found, _on(["h", "c"])).select("r1", "r2", F.transform(
+        "s", lambda x: F.struct((F.col("first") + x["a"]).alias("a"), (F.col("first") + x["b"]).alias("b"))).alias("s"))
+    out = scratch.table(hit.groupBy("r1", "r2").agg(F.flatten(F.collect_set("s")).alias("spans")), "spans")
+    scratch.drop("again")
     free_shuffles(spark)
     return out
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
-                   k: int | None = None, keep_text: bool = True) -> DataFrame:
+                   k: int | None = None, cell: int = CELL, keep_text: bool = True) -> DataFrame:
     """Per row: id and RESULT (spans: maximal removed byte ranges; kept: the
     text that is left, or null with keep_text=False)."""
     python_ready(docs.sparkSession)
@@ -223,7 +281,7 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "d
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     d = d.select("id", F.xxhash64("id").alias("r1"), F.xxhash64("text").alias("r2"), "text")
-    spans = repeated_spans(d, threshold, k or threshold // 2, scratch)
+    spans = repeated_spans(d, threshold, k or threshold // 2, min(cell, threshold // 2), scratch)
     spans = spans.withColumnsRenamed({"r1": "s1", "r2": "s2"})
     out = d.join(spans, (F.col("r1") == F.col("s1")) & (F.col("r2") == F.col("s2")), "left")
     cut = F.arrow_udf(_cutter(keep_text), f"struct<{','.join(':'.join(c.split(' ', 1)) for c in RESULT.split(', '))}>")

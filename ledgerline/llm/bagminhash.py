@@ -13,14 +13,17 @@ Points come in order of arrival and stop at the largest component so far. All
 documents of a batch run through this together in numpy.
 
 Banding gives buckets of signature parts. Documents of equal multisets are one
-*node* before that, so copies cost one aggregation. Bucket members are not
-paired with each other: every node is first verified against the most shared
-member ("leader") of its buckets; components of verified links are formed; and
-only buckets that still hold several components go on: their members outside
-the bucket's largest component lead in turn, against the members of other
-components. The loop ends when no bucket holds an unverified pair of two
-components, so no candidate link is lost. Verification is exact: multiset
-Jaccard of whole documents, ``threshold`` or more.
+*node* before that, so copies cost one aggregation. Bucket members are never
+paired with each other. The member that shares most (in all its buckets) leads
+a bucket, and each node is verified against its few leaders. Two members that
+are both linked to the leader are in one class. For the others the difference
+of a member from its leader decides: with D(x) the multiset difference of x
+and leader, |x - y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)|, which gives the exact
+similarity of any two members from small sets. Within a leader's group, blocks
+of bounded size list their differences by element; a member that failed looks
+up who shares its elements, and one link per class found is returned. So every
+pair of every bucket is decided exactly, without a row per pair.
+Verification is exact: multiset Jaccard of whole documents, ``threshold`` or more.
 
 Defined results: null texts and texts without words form a class of their own
 each; a text of fewer than k words is one shingle; class ids are the least id
@@ -41,7 +44,7 @@ from ledgerline.llm.common import Scratch, free_shuffles, mix, python_ready, shi
 from ledgerline.llm.components import components
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 20, 4
-LEADERS = 32
+BLOCK_BYTES = 8 << 20
 _U = np.uint64
 
 
@@ -134,80 +137,122 @@ def _bagger(k: int) -> Callable:
     return run
 
 
-def bag_similarity(a: bytes, b: bytes) -> float:
-    """Multiset Jaccard of two packed bags."""
-    na, nb = len(a) // 12, len(b) // 12
-    ha, ca = np.frombuffer(a, np.uint64, na), np.frombuffer(a, np.uint32, na, na * 8).astype(np.int64)
-    hb, cb = np.frombuffer(b, np.uint64, nb), np.frombuffer(b, np.uint32, nb, nb * 8).astype(np.int64)
-    _, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-    both = int(np.minimum(ca[ia], cb[ib]).sum())
-    return both / (int(ca.sum()) + int(cb.sum()) - both)
+def unpack(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(bag) // 12
+    return np.frombuffer(bag, np.uint64, n), np.frombuffer(bag, np.uint32, n, n * 8).astype(np.int64)
+
+
+def difference(a: bytes, b: bytes) -> tuple[float, int, np.ndarray]:
+    """(similarity, size of b, the multiset difference of b from a as a set:
+    one hash for each unit that b has more or less of an element)."""
+    ha, ca = unpack(a)
+    hb, cb = unpack(b)
+    keys, at = np.unique(np.concatenate((ha, hb)), return_inverse=True)
+    d = np.zeros(len(keys), np.int64)
+    d[at[: len(ha)]] -= ca
+    d[at[len(ha):]] += cb
+    moved, total = int(np.abs(d).sum()), int(ca.sum() + cb.sum())
+    both = (total - moved) // 2
+    some = np.flatnonzero(d)
+    n = np.abs(d[some])
+    unit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    side = np.repeat((d[some] > 0).astype(np.uint64), n)
+    return both / (total - both), int(cb.sum()), mix(np.repeat(keys[some], n) ^ mix(unit.astype(np.uint64) * _U(2) + side))
 
 
 def _verifier(threshold: float) -> Callable:
+    names = ["a", "b", "linked", "size", "units"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sim = [bag_similarity(x.as_py(), y.as_py()) for x, y in zip(b.column(2), b.column(3))]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array([s >= threshold for s in sim], pa.bool_())], ["a", "b", "linked"])
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*batch.columns):
+                sim, size, units = difference(x.as_py(), y.as_py())
+                out.append((a, b, sim >= threshold, size, units.tobytes()))
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (
+                    pa.binary(), pa.binary(), pa.bool_(), pa.int64(), pa.binary()))], names)
     return run
 
 
-def _verify(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
-    left = bag.select(F.col("node").alias("na"), F.col("bag").alias("bag_a"))
-    right = bag.select(F.col("node").alias("nb"), F.col("bag").alias("bag_b"))
-    p = pairs.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb"))
-    return p.select("a", "b", "bag_a", "bag_b").mapInArrow(_verifier(threshold), "a binary, b binary, linked boolean")
+def siblings(asked: list, members: list, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links between members of one leader that its own links don't give:
+    (node, size, units) of those that failed, against (node, linked, size,
+    units) of the members. One link per class found."""
+    units = [np.frombuffer(u, np.uint64) for *_, u in members]
+    owner = np.repeat(np.arange(len(members)), [len(u) for u in units])
+    flat = np.concatenate(units) if units else np.zeros(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    n_units = np.array([len(u) for u in units], np.int64)
+    size = np.array([m[2] for m in members], np.int64)
+    name = {m[0]: i for i, m in enumerate(members)}
+    linked = np.array([m[1] for m in members], bool)
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for node, own, u in asked:
+        u = np.frombuffer(u, np.uint64)
+        lo, hi = np.searchsorted(flat, u, "left"), np.searchsorted(flat, u, "right")
+        n = hi - lo
+        at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
+        shared = np.bincount(owner[at], minlength=len(members))
+        total = own + size
+        both = (total - (len(u) + n_units - 2 * shared)) // 2
+        ok = both / (total - both) >= threshold
+        if node in name:
+            ok[name[node]] = False
+        passed = np.flatnonzero(ok & linked)
+        for i in [*passed[:1], *np.flatnonzero(ok & ~linked)]:  # the linked ones are one class
+            x, y = find(node), find(members[i][0])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((node, members[i][0]))
+    return out
 
 
-def _pair(x, y) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _group(threshold: float) -> Callable:
+    def run(t: pa.Table) -> pa.Table:
+        rows = t.select(["b", "linked", "size", "units", "asks"]).to_pylist()
+        found = siblings([(r["b"], r["size"], r["units"]) for r in rows if r["asks"]],
+                         [(r["b"], r["linked"], r["size"], r["units"]) for r in rows if not r["asks"]], threshold)
+        return pa.table([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"])
+    return run
 
 
-def links(live: DataFrame, bag: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """(node, root) of the verified links among bucket members (bucket, node, pop)."""
+def links(live: DataFrame, bag: DataFrame, threshold: float, scratch: Scratch, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(a, b): verified links that connect what any pair of members of a bucket
+    (bucket, node, pop) connects."""
     spark = live.sparkSession
-    lead = live.groupBy("bucket").agg(F.max(F.struct("pop", "node")).alias("lead")).withColumnRenamed("bucket", "of")
-    lead = scratch.table(lead, "lead")
-    best = live.join(lead, F.col("bucket") == F.col("of")).where(F.col("node") != F.col("lead.node"))
-    best = best.groupBy("node").agg(F.max("lead").alias("lead"))
-    known = scratch.table(_verify(best.select(*_pair(F.col("node"), F.col("lead.node"))).distinct(), bag, threshold), "known0")
-    label = components(known.where("linked").select("a", "b"))
-    led = scratch.table(live.select("bucket", "node").limit(0), "led0")
-    step = 0
-    while True:
-        free_shuffles(spark)
-        of = label.select(F.col("node").alias("x"), "root")
-        own = live.select("bucket", "node").join(of, F.col("node") == F.col("x"), "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root"))
-        own = scratch.table(own, f"own{step}")
-        # buckets that still hold two components, with their largest one
-        open_ = own.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("bucket").alias("of")).agg(
-            F.max(F.struct("n", "root")).alias("major"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-        open_ = scratch.table(open_.select("of", "major.root"), f"open{step}").withColumnRenamed("root", "major")
-        members = scratch.table(own.join(open_, F.col("bucket") == F.col("of")).select("bucket", "node", "root", "major"), f"members{step}")
-        # any cross pair has a member outside the largest component: those lead, about LEADERS of a bucket at a time
-        done = led.select(F.col("bucket").alias("b"), F.col("node").alias("x"))
-        wait = members.where("root != major").join(done, (F.col("bucket") == F.col("b")) & (F.col("node") == F.col("x")), "left_anti")
-        wait = scratch.table(wait.select("bucket", "node", "root"), f"wait{step}")
-        left = wait.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        leads = wait.join(left, F.col("bucket") == F.col("b")).where(
-            F.pmod(F.xxhash64("bucket", "node", F.lit(step)), F.ceil(F.col("n") / F.lit(LEADERS))) == 0)
-        leads = scratch.table(leads.select(F.col("bucket").alias("of"), F.col("node").alias("leader"), F.col("root").alias("r")), f"leads{step}")
-        if not wait.limit(1).count():
-            return label
-        pairs = members.join(leads, (F.col("bucket") == F.col("of")) & (F.col("root") != F.col("r"))).select(
-            *_pair(F.col("node"), F.col("leader"))).distinct()
-        seen = known.select(F.col("a").alias("ka"), F.col("b").alias("kb"))
-        pairs = scratch.table(pairs.join(seen, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb")), "left_anti"), f"pairs{step}")
-        new = scratch.table(_verify(pairs, bag, threshold), f"new{step}")
-        linked = new.where("linked").limit(1).count()
-        known = scratch.table(known.unionByName(new), f"known{step + 1}")
-        led = scratch.table(led.unionByName(leads.select(F.col("of").alias("bucket"), F.col("leader").alias("node"))), f"led{step + 1}")
-        if linked:
-            label = components(known.where("linked").select("a", "b"))
-        for old in ("own", "open", "members", "wait", "leads", "pairs", "new", "known", "led"):
-            scratch.drop(f"{old}{step}")
-        step += 1
+    lead = live.groupBy("bucket").agg(F.max(F.struct("pop", "node")).alias("lead")).select(F.col("bucket").alias("of"), "lead.node")
+    lead = scratch.table(lead, "lead").withColumnRenamed("node", "a")
+    pairs = live.join(lead, F.col("bucket") == F.col("of")).where("node != a").select("a", F.col("node").alias("b")).distinct()
+    pairs = scratch.table(pairs, "pairs")
+    own = bag.select(F.col("node").alias("nb"), F.col("bag").alias("bag_b"))
+    of = bag.select(F.col("node").alias("na"), F.col("bag").alias("bag_a"))
+    both = pairs.join(own, F.col("b") == F.col("nb")).join(of, F.col("a") == F.col("na")).select("a", "b", "bag_a", "bag_b")
+    seen = both.mapInArrow(_verifier(threshold), "a binary, b binary, linked boolean, size long, units binary")
+    seen = scratch.table(seen, "seen")
+    free_shuffles(spark)
+    # groups with a member that failed, in blocks: the failed ask every block of members
+    weight = F.length("units") + 64
+    parts = lambda c: F.ceil(F.sum(c) / F.lit(block_bytes)).cast("int")
+    groups = seen.groupBy(F.col("a").alias("g")).agg(
+        parts(weight).alias("blocks"), parts(F.when(~F.col("linked"), weight)).alias("asking"), F.count(F.lit(1)).alias("n")).where(
+        "asking > 0 AND n > 1")
+    m = seen.join(scratch.table(groups, "groups"), F.col("a") == F.col("g"))
+    cols = ["a", "b", "linked", "size", "units"]
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    answer = m.select(*cols, F.lit(False).alias("asks"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("y"), spread("asking").alias("x"))
+    ask = m.where("NOT linked").select(*cols, F.lit(True).alias("asks"), spread("blocks").alias("y"), F.pmod(
+        F.xxhash64(F.lit(1), "b"), F.col("asking")).cast("int").alias("x"))
+    found = answer.unionByName(ask).groupBy("a", "x", "y").applyInArrow(_group(threshold), "a binary, b binary")
+    return scratch.table(seen.where("linked").select("a", "b").union(found), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -236,8 +281,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bag = d.join(scratch.table(need, "need"), (F.col("ref") == F.col("r")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "text")
     bag = scratch.table(bag.mapInArrow(_bagger(k), "node binary, bag binary").dropDuplicates(["node"]), "bags")
     free_shuffles(spark)
-    label = links(live, bag, threshold, scratch)
+    edges = links(live, bag, threshold, scratch)
     scratch.drop("bags")
+    scratch.drop("seen")
+    free_shuffles(spark)
+    label = components(edges)
     of = label.select(F.col("node").alias("x"), "root")
     named = nodes.join(of, F.col("node") == F.col("x"), "left").select("node", "rep", "copies", F.coalesce("root", "node").alias("root"))
     named = scratch.table(named, "named")

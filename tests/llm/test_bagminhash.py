@@ -3,6 +3,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bagminhash as B
@@ -57,8 +60,10 @@ def near(rng, base, n):
     return " ".join(w)
 
 
-def test_star_of_near_copies_and_one_row_of_each_class_stays(spark):
+@pytest.mark.parametrize("block", [8 << 20, 20_000])
+def test_star_of_near_copies_and_one_row_of_each_class_stays(spark, monkeypatch, block):
     """Copies are near their base, hardly near each other; some only share parts of it."""
+    monkeypatch.setattr(B.links, "__defaults__", (block,))
     rng = random.Random(3)
     base = [f"w{rng.randrange(4000)}" for _ in range(300)]
     rows = [(i, near(rng, base, 5)) for i in range(1, 150)] + [(500, " ".join(base))]
@@ -97,9 +102,41 @@ def test_signature_does_not_depend_on_the_batch():
     assert np.isinf(whole[1]).all() and np.isfinite(whole[2]).all()
 
 
+def packed(text):
+    _, e, c = B.bags(*shingles(*word_hashes(pa.array([text])), 5))
+    return e.tobytes() + c.astype(np.uint32).tobytes()
+
+
 def test_verification_is_multiset_jaccard():
     for a, b in (("a b c d e " * 5, "a b c d e " * 3), ("a b c d e f", "a b c d e g"), ("x", "x")):
-        h = [B.bags(*shingles(*word_hashes(pa.array([t])), 5)) for t in (a, b)]
-        packed = [e.tobytes() + c.astype(np.uint32).tobytes() for _, e, c in h]
         x, y = bag(a), bag(b)
-        assert B.bag_similarity(*packed) == (x & y).total() / (x | y).total()
+        sim, size, units = B.difference(packed(a), packed(b))
+        assert sim == (x & y).total() / (x | y).total() and size == y.total()
+        assert len(set(units.tolist())) == len(units) == (x | y).total() - (x & y).total()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcd"), min_size=5, max_size=25), min_size=2, max_size=7), st.sampled_from([0.5, 0.8]))
+def test_siblings_connect_what_all_pairs_connect(docs, threshold):
+    texts = sorted({" ".join(d) for d in docs})
+    lead, members = texts[0], []
+    for t in texts[1:]:
+        sim, size, units = B.difference(packed(lead), packed(t))
+        members.append((t.encode(), sim >= threshold, size, units.tobytes()))
+    found = B.siblings([(n, s, u) for n, ok, s, u in members if not ok], members, threshold)
+    found += [(lead.encode(), n) for n, ok, _, _ in members if ok]
+    true = [(a.encode(), b.encode()) for a in texts for b in texts if a < b and (lambda x, y: (x & y).total() / (x | y).total())(bag(a), bag(b)) >= threshold]
+
+    def parts(edges):
+        root = {t.encode(): t.encode() for t in texts}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for a, b in edges:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+        return {x: find(x) for x in root}
+    assert parts(found) == parts(true)
+    assert all(tuple(sorted(e)) in true for e in found)

@@ -53,8 +53,16 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+ARROW_BYTES = 16 << 20
+
+
 def python_ready(spark: SparkSession) -> None:
+    """Ship the package, and bound Arrow batches by bytes: rows of long texts
+    would not fit a worker's memory by the thousand."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, f"{(1 << 31) - 1}").lower().rstrip("b") == f"{(1 << 31) - 1}":  # not set
+        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def words_column(text: Column) -> Column:

@@ -8,17 +8,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     """A session tuned for these jobs: AQE on (coalescing, skew-join split),
-    UTC session time, UI off. On a cluster pass master=None and size
-    ``shuffle_partitions`` to the data (about 128-256 MB per partition)."""
+    UTC session time, UI off. What the deployment sets from outside
+    (``--conf spark.sql.shuffle.partitions``, memory) is kept unless a value
+    is passed here; size the shuffle count to about 128-256 MB per partition."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = {
-        "spark.driver.memory": os.environ.get("LEDGERLINE_DRIVER_MEMORY", "16g"),
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -27,6 +26,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if "LEDGERLINE_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ["LEDGERLINE_DRIVER_MEMORY"]
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -50,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)

@@ -2,12 +2,12 @@
 
 A global ``Window.orderBy`` without a partition moves every row into one task.
 Instead: range-partition on the ordering (tie-break columns included so even a
-hot leading key is split across partitions), sort inside each partition, tag
-rows with ``monotonically_increasing_id`` (partition id in the upper bits,
-position in the lower 33 bits), checkpoint to the shared folder so ids and
-counts come from one materialization, count rows per partition (at most
-``spark.sql.shuffle.partitions`` rows -> a broadcast with a proven bound) and
-add the running offsets.
+hot leading key is split across partitions), sort inside each partition, write
+the rows with their partition number and their position as a columnar stage,
+count rows per partition from the one narrow column (as many rows as
+partitions: a broadcast with a proven bound) and add the running offsets. Ids
+and counts come from one materialization, so a recomputed task cannot change
+them. ``materialize.cleanup`` deletes the stage once the result is written.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.functions.materialize import materialize
+
+#: Rows aimed at per partition, and the most that a position can number.
+PARTITION_ROWS, POSITION_LIMIT = 20_000_000, 1 << 33
 
 
 def _sort_exprs(order_cols) -> list[Column]:
@@ -31,17 +34,17 @@ def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | No
     other columns are unchanged. Ties in ``order_cols`` are numbered arbitrarily,
     as with ``row_number``; pass tie-break columns to make it deterministic."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PARTITION_ROWS))
     order = _sort_exprs(order_cols)
-    tagged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    pid = F.shiftright(F.col("_mid"), 33)
-    counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
+    # the lower 33 bits of the id are the row's position in its partition
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_LIMIT - 1))
+    staged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumns({"_pid": F.spark_partition_id(), "_pos": position}), f"key-{name}")
+    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    too_many = counts.where(F.col("_cnt") > POSITION_LIMIT).limit(1).collect()
+    if too_many:
+        raise ValueError(f"a partition of {too_many[0]['_cnt']} rows cannot be numbered: raise num_partitions or the shuffle count")
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    keyed = tagged.join(F.broadcast(offsets), pid == F.col("_pid"))
-    key = (F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid"), 33)) + 1).cast("bigint")
-    return keyed.select(key.alias(name), *[F.col(c) for c in df.columns])
+    offsets = counts.select(F.col("_pid").alias("_of"), F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    keyed = staged.join(F.broadcast(offsets), F.col("_pid") == F.col("_of"))
+    return keyed.select((F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(name), *[F.col(c) for c in df.columns])

@@ -18,17 +18,36 @@ class SchemaValidationError(Exception):
     pass
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+BROKEN = "_broken_line"
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Headered CSV, every column a nullable string (no inference), NA tokens -> null.
 
     Columns are matched by header name; extra columns pass through untouched.
     A missing path raises (Spark's AnalysisException) like a missing file did.
+
+    A row with more fields than the header raises when it is read, as does a
+    quoted value that goes over a line end (short rows are filled with nulls).
+    ``multi_line=True`` reads such values; a file is then one task's work and is
+    not split, so large inputs should come as many files.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    df = (spark.read.option("header", True).option("escape", '"').option("multiLine", False)
-          .option("enforceSchema", False)
-          .schema(", ".join(f"`{c}` string" for c in header))
+    options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
+    header = spark.read.options(**options).option("inferSchema", False).csv(path).columns
+    df = (spark.read.options(**options).option("enforceSchema", False)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", False)
+          .schema(", ".join(f"`{c}` string" for c in [*header, BROKEN]))
           .csv(path))
+    # a marked line is short (accepted), long, or ends inside quotes
+    # (a mark after its last field shows how many fields it has)
+    wide = [f"c{i}" for i in range(len(header) + 2)]
+    cells = F.from_csv(F.concat(BROKEN, F.lit(",\x02")), ", ".join(f"{c} string" for c in wide), {"escape": '"'})
+    fits = F.array_contains(F.array(*[F.coalesce(cells[c], F.lit("")) for c in wide[:-1]]), "\x02")
+    quotes = F.length(BROKEN) - F.length(F.replace(F.col(BROKEN), F.lit('"')))
+    fault = (F.when(F.col(BROKEN).isNull(), None)
+             .when(quotes % 2 == 1, F.lit("A quoted value goes over a line end (read with multi_line=True): "))
+             .when(~fits, F.lit(f"More than {len(header)} fields: ")))
+    df = df.where(F.when(fault.isNotNull(), F.raise_error(F.concat_ws("", fault, F.lit("["), f"`{header[0]}`", F.lit("] "), BROKEN)).cast("boolean")).otherwise(True))
     return df.select(*[F.when(F.col(f"`{c}`").isin(*NA_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c)
                        for c in header])
 
@@ -51,22 +70,31 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
 
 
-def ingest_metadata(spark: SparkSession, path: str, source: str = "file") -> DataFrame:
-    """One row: source, ingest time, file name(s), row/column count, sha256 of the bytes.
-
-    The hash is computed by the executors over the binary file content, one
-    task per file (so a dataset of many files is hashed in parallel; a single
-    file must stay under the 2 GB binaryFile limit); the row count is a
-    distributed count of the CSV scan.
-    """
-    files = (spark.read.format("binaryFile").load(path)
-             .select(F.element_at(F.split("path", "/"), -1).alias("filename"),
-                     F.sha2(F.col("content"), 256).alias("sha256")))
-    df = read_raw_csv(spark, path)
-    meta = files.agg(F.concat_ws(",", F.sort_array(F.collect_list("filename"))).alias("filename"),
-                     F.concat_ws(",", F.sort_array(F.collect_list("sha256"))).alias("sha256"))
-    row_count = df.agg(F.count(F.lit(1))).scalar()
-    return (meta.withColumn("row_count", row_count)
-            .select(F.lit(source).alias("source"), F.current_timestamp().alias("ingested_at"),
-                    "filename", "row_count", F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-                    "sha256"))
+WHOLE_FILE = 1 << 30
+
+
+def ingest_metadata(spark: SparkSession, path: str, source: str = "file", multi_line: bool = False) -> DataFrame:
+    """One row per file: source, ingest time, file name, row/column count, sha256.
+
+    Files up to ``WHOLE_FILE`` bytes are hashed as they are, one task per file.
+    A larger file does not fit the binary reader: its digest is the SHA-256 of
+    ``lines:count:sum`` over its lines, where sum adds the lines' 64-bit hashes;
+    it is computed from splits of the file and does not depend on them.
+    Row counts come from the CSV scan, grouped by file."""
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    whole = (spark.read.format("binaryFile").load(path).where(F.col("length") <= WHOLE_FILE)
+             .select(name.alias("filename"), F.sha2(F.col("content"), 256).alias("sha256")))
+    if listed.where(F.col("length") > WHOLE_FILE).limit(1).count():
+        large = listed.where(F.col("length") > WHOLE_FILE).select(name.alias("f"))
+        lines = spark.read.text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("filename"), "value")
+        lines = lines.join(large, F.col("filename") == F.col("f"), "left_semi").groupBy("filename").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("s"))
+        whole = whole.unionByName(lines.select("filename", F.sha2(F.concat_ws(":", F.lit("lines"), "n", F.col("s").cast(
+            "string")), 256).alias("sha256")))
+    df = read_raw_csv(spark, path, multi_line)
+    rows = df.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f")).agg(F.count(F.lit(1)).alias("row_count"))
+    return (whole.join(rows, F.col("filename") == F.col("f"), "left")
+            .select(F.lit(source).alias("source"), F.current_timestamp().alias("ingested_at"), "filename",
+                    F.coalesce("row_count", F.lit(0)).alias("row_count"),
+                    F.lit(len(df.columns)).cast("bigint").alias("column_count"), "sha256"))

@@ -10,10 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed patterns: a plain decimal / scientific number (what numeric coercion
-# accepts), an ISO calendar date, and leading/trailing whitespace.
+# accepts), an ISO calendar date, and leading/trailing whitespace (every
+# Unicode white space, as str.strip() removes it).
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-EDGE_SPACE_PATTERN = r"^\s+|\s+$"
+SPACE_CLASS = (r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+EDGE_SPACE_PATTERN = rf"\A{SPACE_CLASS}+|{SPACE_CLASS}+\z"
 WORD_RUN_PATTERN = r"(\p{L}+|[^\p{L}]+)"
 
 
@@ -44,7 +46,7 @@ def safe_double(c) -> Column:
     The pattern guard rejects what Spark would otherwise accept ('2.5d', 'NaN',
     'Infinity'), so no non-finite value ever reaches a comparison.
     """
-    s = F.trim(_c(c))
+    s = strip_ws(c)
     return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
 
 
@@ -67,8 +69,3 @@ def money_sum(c, scale: int = 6) -> Column:
     same data (or a re-run after an executor loss) give bit-identical totals.
     """
     return F.sum(_c(c).cast(f"decimal(38,{scale})")).cast("double")
-
-
-def present(c, digits: int = 6) -> Column:
-    """Round a double for comparison/presentation (hides last-bit differences)."""
-    return F.round(_c(c), digits)

@@ -25,11 +25,12 @@ from ledgerline.schema import STG_COLUMNS
 
 
 def stg_sales(clean: DataFrame) -> DataFrame:
-    """MD1 / PJ1: typed projection (quantity rounded half away from zero, as an SQL cast does)."""
+    """MD1 / PJ1: typed projection. The quantity is rounded half to even, as the
+    SQL cast of a double does; one that does not fit an int becomes null."""
     return clean.select(
         "order_id", F.col("order_date").cast("date").alias("order_date"), "customer_id", "customer_name",
         "product_id", "product_name", "category", "region", "country", "segment",
-        F.round(F.col("quantity")).cast("int").alias("quantity"),
+        F.rint(F.col("quantity")).try_cast("int").alias("quantity"),
         F.col("unit_price").cast("double").alias("unit_price"),
         F.col("discount").cast("double").alias("discount"),
         F.col("sales").cast("double").alias("sales"))
@@ -117,23 +118,16 @@ def fact_measures(stg: DataFrame) -> DataFrame:
                       "country", "quantity", F.col("sales").alias("revenue"))
 
 
-def _ratio_round2(total_dec: str, count: str) -> F.Column:
-    """round(total / count, 2), half away from zero, computed exactly: the decimal
-    total in micro-units and integer division (no double rounding error)."""
-    return F.expr(
-        f"cast(case when {count} != 0 then ((cast({total_dec} * 1000000 as bigint) + 5000 * {count})"
-        f" div (10000 * {count})) end / 100.0 as double)")
-
-
 def sales_daily(fact: DataFrame) -> DataFrame:
     """MD8 / AG5: per day orders, units, revenue and average order value."""
     g = fact.groupBy("date_key").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("quantity").cast("bigint").alias("total_units"),
-        F.sum(F.col("revenue").cast("decimal(38,6)")).alias("_rev"))
-    return g.select(F.col("date_key").alias("order_date"), "total_orders", "total_units",
-                    F.col("_rev").cast("double").alias("total_revenue"),
-                    _ratio_round2("_rev", "total_orders").alias("avg_order_value"))
+        money_sum("revenue").alias("total_revenue"))
+    # round half away on the scaled double, as SQL round(x, 2) of a double does
+    average = F.col("total_revenue") / F.nullif(F.col("total_orders"), F.lit(0))
+    return g.select(F.col("date_key").alias("order_date"), "total_orders", "total_units", "total_revenue",
+                    (F.round(average * 100) / 100).alias("avg_order_value"))
 
 
 def _growth(cur, prev) -> F.Column:
@@ -154,7 +148,8 @@ def sales_monthly(fact: DataFrame) -> DataFrame:
 
 
 def build_marts(stg: DataFrame) -> dict[str, DataFrame]:
-    """MAT3: the model DAG stg -> int -> dim -> fact -> daily/monthly (lazy)."""
+    """MAT3: the model DAG stg -> int -> dim -> fact -> daily/monthly. The three
+    surrogate keys are built (and staged) here; the rest is lazy."""
     dc, dp = dim_customer(stg), dim_product(stg)
     fact = fact_sales(stg, dc, dp)
     return {

@@ -15,8 +15,11 @@ STG14 = ("order_id, order_date, customer_id, customer_name, product_id, product_
          "region, country, segment, quantity, unit_price, discount, sales")
 
 
+_SPACE = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def strip_sql(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return rf"regexp_replace({x}, '\A{_SPACE}+|{_SPACE}+\z', '', 'g')"
 
 
 def title_sql(x: str) -> str:
@@ -25,8 +28,9 @@ def title_sql(x: str) -> str:
 
 
 def num_sql(x: str) -> str:
-    return (rf"CASE WHEN regexp_full_match(trim({x}), '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') "
-            rf"THEN TRY_CAST(trim({x}) AS DOUBLE) END")
+    s = strip_sql(x)
+    return (rf"CASE WHEN regexp_full_match({s}, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') "
+            rf"THEN TRY_CAST({s} AS DOUBLE) END")
 
 
 def money(x: str) -> str:
@@ -70,7 +74,7 @@ CTES = [
         r.segment
       FROM resold r LEFT JOIN caps c ON r.category = c.category"""),
     ("stg", """SELECT order_id, CAST(order_date AS DATE) AS order_date, customer_id, customer_name, product_id,
-        product_name, category, region, country, segment, CAST(quantity AS INTEGER) AS quantity,
+        product_name, category, region, country, segment, TRY_CAST(quantity AS INTEGER) AS quantity,
         CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount, CAST(sales AS DOUBLE) AS sales
       FROM clean"""),
     ("int_cust", f"""SELECT customer_id, min(customer_name) AS customer_name, count(DISTINCT order_id) AS order_count,
@@ -100,17 +104,16 @@ CTES = [
       LEFT JOIN (SELECT product_key, product_id FROM dim_prod) p ON s.product_id = p.product_id"""),
     ("daily", f"""SELECT date_key AS order_date, count(DISTINCT order_id) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_units, {money('revenue')} AS total_revenue,
-        CAST(((CAST(sum(CAST(revenue AS DECIMAL(38,6))) * 1000000 AS BIGINT) + 5000 * count(DISTINCT order_id))
-              // (10000 * count(DISTINCT order_id))) / 100.0 AS DOUBLE) AS avg_order_value
+        round({money('revenue')} / nullif(count(DISTINCT order_id), 0), 2) AS avg_order_value
       FROM fact GROUP BY date_key"""),
     ("monthly_base", f"""SELECT CAST(date_trunc('month', date_key) AS DATE) AS month_start,
         count(DISTINCT order_id) AS total_orders, {money('revenue')} AS total_revenue
       FROM fact GROUP BY 1"""),
     ("monthly", """SELECT month_start, total_orders, total_revenue,
         round(100.0 * (total_revenue - lag(total_revenue) OVER (ORDER BY month_start))
-              / nullif(lag(total_revenue) OVER (ORDER BY month_start), 0), 2) AS mom_growth_pct,
+              / nullif(lag(total_revenue) OVER (ORDER BY month_start), 0), 2) + 0.0 AS mom_growth_pct,
         round(100.0 * (total_revenue - lag(total_revenue, 12) OVER (ORDER BY month_start))
-              / nullif(lag(total_revenue, 12) OVER (ORDER BY month_start), 0), 2) AS yoy_growth_pct
+              / nullif(lag(total_revenue, 12) OVER (ORDER BY month_start), 0), 2) + 0.0 AS yoy_growth_pct
       FROM monthly_base"""),
 ]
 

@@ -22,7 +22,8 @@ class NamedQuery:
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(spark, sf_dir)
         if self.doubles:
-            df = df.withColumns({c: F.round(F.col(c), 4) for c in self.doubles})
+            # half away from zero on the scaled double, as the oracle's round(x, 4) does
+            df = df.withColumns({c: F.round(F.col(c) * 10000.0) / 10000.0 for c in self.doubles})
         return df
 
     def oracle(self) -> str | None:

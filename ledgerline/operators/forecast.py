@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.config import PipelineConfig
+from ledgerline.functions.materialize import materialize
 from ledgerline.functions.text import money_sum, np_round2
 
 CFG = PipelineConfig()
@@ -31,7 +32,10 @@ BASELINES = MODEL_ORDER[:3]
 def series_id(keys) -> F.Column:
     if not keys:
         return F.lit("total")
-    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    def part(k):  # the separator and the escape are escaped, null is marked: two keys never share a series
+        s = F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(s, F.lit("\\N"))
+    return F.concat_ws("|", *[part(k) for k in keys])
 
 
 def _unit(grain: str) -> str:
@@ -59,13 +63,27 @@ def _index(grain: str, date, first) -> F.Column:
     return (F.datediff(date, first) + 1).cast("int")
 
 
+def _cut(as_of, unit: str) -> F.Column:
+    today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    return F.trunc(today, "month") if unit == "month" else today
+
+
+def series_lengths(obs: DataFrame, as_of=None, grain: str = "month") -> DataFrame:
+    """(series, n): the periods a prepared series will have, from its first and
+    last period alone (no spine is built)."""
+    unit = _unit(grain)
+    b = obs.groupBy("series").agg(F.min("period_start").alias("_first"), F.max("period_start").alias("_last"))
+    n = _index(unit, F.col("_last"), F.col("_first")) - (F.col("_last") >= _cut(as_of, unit)).cast("int")
+    return b.select("series", n.cast("bigint").alias("n"))
+
+
 def prepare_series(obs: DataFrame, as_of=None, grain: str = "month") -> DataFrame:
     """FC1: calendar spine per series, linear gap interpolation (edges take the
     nearest value), and the last period dropped when it is not complete yet.
 
-    ``as_of``: a date (string/date) for "today", None for current_date(), or
-    "latest" for the newest period present in the data (its period is then the
-    incomplete one). Output: series, period_start, y, idx (1-based), n.
+    ``as_of``: a date (string/date) for "today", None for current_date(); only
+    the period that holds this date is incomplete. Output: series,
+    period_start, y, idx (1-based), n.
     """
     unit = _unit(grain)
     step = F.expr(f"interval 1 {unit}")
@@ -88,13 +106,7 @@ def prepare_series(obs: DataFrame, as_of=None, grain: str = "month") -> DataFram
                         F.col("_py"), F.col("_ny"))
     s = s.withColumn("y", filled)
 
-    if isinstance(as_of, str) and as_of == "latest":
-        # scalar subquery: evaluated once, used as a constant
-        s = s.withColumn("_cut", obs.agg(F.max("period_start")).scalar())
-    else:
-        today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-        s = s.withColumn("_cut", F.trunc(today, "month") if unit == "month" else today)
-    s = s.where(~((F.col("period_start") == F.col("_last")) & (F.col("period_start") >= F.col("_cut"))))
+    s = s.where(~((F.col("period_start") == F.col("_last")) & (F.col("period_start") >= _cut(as_of, unit))))
     n = F.count(F.lit(1)).over(Window.partitionBy("series"))
     return s.select("series", "period_start", "y", "idx", n.alias("n"))
 
@@ -104,13 +116,18 @@ def eligible(prepared: DataFrame, min_history: int = CFG.min_history) -> DataFra
     return prepared.where(F.col("n") >= min_history)
 
 
-def skipped_series(prepared: DataFrame, min_history: int = CFG.min_history) -> DataFrame:
-    """FC16: series skipped for too short a history, with their length."""
-    return prepared.groupBy("series").agg(F.max("n").alias("n")).where(F.col("n") < min_history)
+def skipped_series(lengths: DataFrame, min_history: int = CFG.min_history) -> DataFrame:
+    """FC16: series skipped for too short a history, with their length; from
+    ``series_lengths`` or a prepared table. A series that has no complete
+    period left is no series and is not listed."""
+    return lengths.groupBy("series").agg(F.max("n").alias("n")).where((F.col("n") < min_history) & (F.col("n") > 0))
 
 
 def chronological_split(prepared: DataFrame, test_fraction: float = CFG.test_fraction) -> DataFrame:
-    """FC6: split index max(1, floor(n * (1 - f))); train = idx <= split_idx."""
+    """FC6: split index max(1, floor(n * (1 - f))); train = idx <= split_idx.
+    A fraction that leaves no test or no training period is an error."""
+    if not 0 < test_fraction < 1:
+        raise ValueError(f"test_fraction must lie between 0 and 1, not {test_fraction}")
     keep = 1.0 - test_fraction
     split_idx = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(keep)).cast("int"))
     return (prepared.withColumn("split_idx", split_idx)
@@ -240,9 +257,11 @@ def generate_forecast(prepared: DataFrame, best: DataFrame, horizon: int = CFG.h
     history = prepared.select("series", "idx", "y")
     targets = future_targets(prepared, horizon, grain)
     preds = _baselines(history, targets, ma_window, season)
-    if with_smoothing:
-        from ledgerline.operators.smoothing import holt_winters_forecasts
-        preds = preds.unionByName(holt_winters_forecasts(history, targets, season))
+    if with_smoothing:  # only series whose winner is the smoothing are fitted again
+        from ledgerline.operators.smoothing import MODEL_NAME, holt_winters_forecasts
+        won = best.where(F.col("best_model") == MODEL_NAME).select("series")
+        preds = preds.unionByName(holt_winters_forecasts(
+            history.join(won, "series", "left_semi"), targets.join(won, "series", "left_semi"), season))
     chosen = preds.join(best.select("series", F.col("best_model").alias("model")), ["series", "model"])
     width = F.col("_zsd") * F.sqrt(F.col("step").cast("double"))
     out = chosen.join(band_width(prepared, z), "series", "left").select(
@@ -273,10 +292,12 @@ def scorecard(best: DataFrame, horizon: int = CFG.horizon) -> DataFrame:
 def run_forecasting(prepared: DataFrame, cfg: PipelineConfig = CFG, with_smoothing: bool = True,
                     grain: str = "month") -> dict[str, DataFrame]:
     """FC17: eligible series -> split -> compare -> select -> refit and forecast."""
+    prepared = materialize(prepared, "prepared")  # small (series x periods), read by every branch below
     ok = eligible(prepared, cfg.min_history)
     split = chronological_split(ok, cfg.test_fraction)
+    assert_no_leakage(split)
     preds = holdout_predictions(split, cfg.ma_window, cfg.season_length, with_smoothing)
-    metrics = evaluate(preds)
+    metrics = materialize(evaluate(preds), "metrics")  # the parameter search runs once
     best = select_best(metrics)
     fc = generate_forecast(ok, best, cfg.horizon, cfg.ma_window, cfg.season_length, cfg.band_z, grain,
                            with_smoothing=with_smoothing)

@@ -2,50 +2,51 @@
 
 from __future__ import annotations
 
-from ledgerline.functions.materialize import materialize
+from ledgerline.functions.materialize import stage
 from ledgerline.operators import clean as C
 from ledgerline.operators import marts as M
 from ledgerline.operators import profile as P
 from ledgerline.operators import quality as Q
 from ledgerline.plans.oracle import RAW14, num_sql, with_chain
 from ledgerline.plans.registry import query
-from ledgerline.sources.fixture import raw_from_tables
+from ledgerline.sources.fixture import TABLES, raw_from_tables
 
 MONEY_ROW = ("quantity", "unit_price", "sales", "discount")
 
 
-_TABLES: dict[tuple, object] = {}
-
-
-def _memo(spark, d, name, build):
-    key = (id(spark), spark.sparkContext.applicationId, d, name)
-    if key not in _TABLES:
-        _TABLES[key] = materialize(build(), name)
-        C.release()   # intermediates cached while building it are no longer needed
-    return _TABLES[key]
+def _stage(spark, d, name, build):
+    return stage(spark, d, TABLES, name, build)
 
 
 def raw_of(spark, d):
     """The dirty raw order lines derived from the driver tables, written once
-    per session as a Parquet table (the raw file of the pipeline)."""
-    return _memo(spark, d, "raw", lambda: raw_from_tables(spark, d))
+    as a Parquet table (the raw file of the pipeline)."""
+    return _stage(spark, d, "raw", lambda: raw_from_tables(spark, d))
 
 
 def clean_of(spark, d):
     return C.clean(raw_of(spark, d))
 
 
-def staging_source(spark, d):
-    """The loaded clean table (the load step's output) the models read from."""
-    return _memo(spark, d, "sales_staging", lambda: clean_of(spark, d))
-
-
 def stg_of(spark, d):
-    return M.stg_sales(staging_source(spark, d))
-
-
-def marts_of(spark, d):
-    return M.build_marts(stg_of(spark, d))
+    """The staging model on the loaded clean table (the load step's output)."""
+    return M.stg_sales(_stage(spark, d, "sales_staging", lambda: clean_of(spark, d)))
+
+
+def mart_of(spark, d, name):
+    """A written model, built with the models that it reads and no other."""
+    stg = lambda: stg_of(spark, d)
+    build = {
+        "int_customer_sales": lambda: M.int_customer_sales(stg()),
+        "int_product_sales": lambda: M.int_product_sales(stg()),
+        "dim_customer": lambda: M.dim_customer(stg()),
+        "dim_product": lambda: M.dim_product(stg()),
+        "dim_date": lambda: M.dim_date(stg()),
+        "fact_sales": lambda: M.fact_sales(stg(), mart_of(spark, d, "dim_customer"), mart_of(spark, d, "dim_product")),
+        "sales_daily": lambda: M.sales_daily(M.fact_measures(stg())),
+        "sales_monthly": lambda: M.sales_monthly(M.fact_measures(stg())),
+    }
+    return stg() if name == "stg_sales" else _stage(spark, d, name, build[name])
 
 
 # ---------------------------------------------------------------- quality
@@ -131,12 +132,6 @@ def prf_shape(spark, d):
     return P.shape(raw_of(spark, d))
 
 
-@query("prf_dtypes", None)
-def prf_dtypes(spark, d):
-    # schema only: the lazily planned staging table (no job runs)
-    return P.dtypes(M.stg_sales(C.clean(raw_of(spark, d), checked_caps=False)))
-
-
 @query("prf_head", with_chain(
     f"SELECT * FROM raw ORDER BY {', '.join(c + ' NULLS FIRST' for c in RAW14.split(', '))} LIMIT 5"))
 def prf_head(spark, d):
@@ -248,7 +243,7 @@ def dim_date(spark, d):
 
 @query("fact_sales", with_chain("SELECT * FROM fact"), ("unit_price", "discount", "revenue"))
 def fact_sales(spark, d):
-    return marts_of(spark, d)["fact_sales"]
+    return M.fact_sales(stg_of(spark, d), mart_of(spark, d, "dim_customer"), mart_of(spark, d, "dim_product"))
 
 
 @query("sales_daily", with_chain("SELECT * FROM daily"), ("total_revenue",))

@@ -10,19 +10,22 @@ from ledgerline.operators import forecast as FC
 from ledgerline.operators import marts as M
 from ledgerline.operators import smoothing as HW
 from ledgerline.plans.oracle import with_chain
-from ledgerline.plans.q_core import stg_of
+from ledgerline.plans.q_core import mart_of, stg_of
 from ledgerline.plans.registry import query
 
 CFG = PipelineConfig()
 KEEP = repr(1.0 - CFG.test_fraction)
 K, S, H = CFG.ma_window, CFG.season_length, CFG.horizon
+# Fixed dates of the registered queries: one after the data (every month is
+# complete) and one in their last month (which is then the incomplete one).
+AS_OF, AS_OF_LAST = "2000-01-01", "1998-08-02"
 
 
 def _round2(x: str) -> str:
     return f"round_even(({x}) * 100, 0) / 100"
 
 
-def _prep_ctes(prefix: str, obs_sql: str, unit: str) -> list[tuple[str, str]]:
+def _prep_ctes(prefix: str, obs_sql: str, unit: str, as_of: str = AS_OF) -> list[tuple[str, str]]:
     """Spine, interpolation and incomplete-period drop, in DuckDB."""
     diff = "date_diff('month', f, period_start)" if unit == "month" else "date_diff('day', f, period_start)"
     return [
@@ -42,7 +45,7 @@ def _prep_ctes(prefix: str, obs_sql: str, unit: str) -> list[tuple[str, str]]:
         (f"{prefix}_filled", f"""SELECT series, period_start, l, idx,
             coalesce(y, CASE WHEN pi IS NOT NULL AND ni IS NOT NULL THEN py + (ny - py) / (ni - pi) * (idx - pi) END, py, ny) AS y
             FROM {prefix}_interp
-            WHERE NOT (period_start = l AND period_start >= (SELECT max(period_start) FROM {prefix}_obs))"""),
+            WHERE NOT (period_start = l AND period_start >= date_trunc('{unit}', DATE '{as_of}'))"""),
         (f"{prefix}_prep", f"""SELECT series, period_start, y, idx, count(*) OVER (PARTITION BY series) AS n
             FROM {prefix}_filled"""),
     ]
@@ -105,7 +108,7 @@ def fc_sql(select_sql: str) -> str:
 
 
 def _prepared(spark, d):
-    return FC.prepare_series(FC.period_observations(stg_of(spark, d), ["category"]), as_of="latest")
+    return FC.prepare_series(FC.period_observations(stg_of(spark, d), ["category"]), as_of=AS_OF)
 
 
 def _split(spark, d):
@@ -129,7 +132,7 @@ def fc_prepare(spark, d):
 def fc_prepare_daily(spark, d):
     """FC20: the daily grain option of the series preparation."""
     obs = FC.period_observations(stg_of(spark, d), [], grain="day")
-    return FC.prepare_series(obs, as_of="latest", grain="day")
+    return FC.prepare_series(obs, as_of=AS_OF, grain="day")
 
 
 @query("fc_split", fc_sql("SELECT * FROM fc_split"), ("y",))
@@ -224,13 +227,19 @@ def fc_scorecard(spark, d):
 @query("fc_forecast_total", None)
 def fc_forecast_total(spark, d):
     """The original flow on its single series: the monthly mart's total revenue."""
-    monthly = M.sales_monthly(M.fact_measures(stg_of(spark, d)))
-    prepared = FC.prepare_series(FC.from_monthly_mart(monthly), as_of="latest")
-    return FC.run_forecasting(prepared, CFG, with_smoothing=True)["forecast"]
+    monthly = mart_of(spark, d, "sales_monthly")
+    prepared = FC.prepare_series(FC.from_monthly_mart(monthly), as_of=AS_OF)
+    return FC.run_forecasting(prepared, CFG, with_smoothing=True)["forecast"].drop("generated_at")
 
 
-PAIR_OBS = """SELECT customer_id || '|' || product_id AS series, CAST(date_trunc('month', order_date) AS DATE) AS period_start,
-    CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS y FROM stg GROUP BY 1, 2"""
+def _part(x: str) -> str:
+    return f"coalesce(replace(replace({x}, '\\', '\\\\'), '|', '\\|'), '\\N')"
+
+
+PAIR_OBS = f"""SELECT {_part('customer_id')} || '|' || {_part('product_id')} AS series,
+    CAST(date_trunc('month', order_date) AS DATE) AS period_start, CAST(SUM(CAST(sales AS DECIMAL(38,6))) AS DOUBLE) AS y
+    FROM stg GROUP BY 1, 2"""
+NAME_OBS = PAIR_OBS.replace("customer_id", "product_name").replace("product_id", "region")
 
 
 @query("fc_skipped_series", with_chain(
@@ -238,10 +247,15 @@ PAIR_OBS = """SELECT customer_id || '|' || product_id AS series, CAST(date_trunc
     _prep_ctes("fcp", PAIR_OBS, "month")))
 def fc_skipped_series(spark, d):
     """FC16 on per-(customer, product) series: the many series whose history is too
-    short to forecast (prepared in parallel, one spine per series)."""
-    prepared = FC.prepare_series(FC.period_observations(stg_of(spark, d), ["customer_id", "product_id"]),
-                                 as_of="latest")
-    return FC.skipped_series(prepared, CFG.min_history)
+    short to forecast, told by their first and last month."""
+    obs = FC.period_observations(stg_of(spark, d), ["customer_id", "product_id"])
+    return FC.skipped_series(FC.series_lengths(obs, AS_OF), CFG.min_history)
+
+
+@query("fc_two_keys", with_chain("SELECT * FROM fcn_obs", [("fcn_obs", NAME_OBS)]), ("y",))
+def fc_two_keys(spark, d):
+    """Series of two keys whose values hold the separator."""
+    return FC.period_observations(stg_of(spark, d), ["product_name", "region"])
 
 
 def _forecast_ctes(prefix: str, obs_sql: str) -> list[tuple[str, str]]:
@@ -257,9 +271,9 @@ TOTAL_OBS = "SELECT 'total' AS series, month_start AS period_start, total_revenu
 TOTAL_CTES = _forecast_ctes("fct", TOTAL_OBS)
 
 
-def _total_prepared(spark, d):
-    monthly = M.sales_monthly(M.fact_measures(stg_of(spark, d)))
-    return FC.prepare_series(FC.from_monthly_mart(monthly), as_of="latest")
+def _total_prepared(spark, d, as_of=AS_OF):
+    monthly = mart_of(spark, d, "sales_monthly")
+    return FC.prepare_series(FC.from_monthly_mart(monthly), as_of=as_of)
 
 
 @query("fc_prepare_total", with_chain("SELECT * FROM fct_prep", TOTAL_CTES), ("y",))
@@ -276,3 +290,9 @@ def fc_band_total(spark, d):
     split = FC.chronological_split(prepared, CFG.test_fraction)
     best = FC.select_best(FC.evaluate(FC.holdout_predictions(split, K, S)))
     return FC.generate_forecast(prepared, best, H, K, S, CFG.band_z, with_smoothing=False, with_generated_at=False)
+
+
+@query("fc_prepare_incomplete", with_chain("SELECT * FROM fcl_prep", _prep_ctes("fcl", TOTAL_OBS, "month", AS_OF_LAST)), ("y",))
+def fc_prepare_incomplete(spark, d):
+    """FL5: asked on a day of the last month, that month is left out."""
+    return _total_prepared(spark, d, AS_OF_LAST)

@@ -6,7 +6,7 @@ from ledgerline.operators import expectations as X
 from ledgerline.operators import marts as M
 from ledgerline.operators import metrics as R
 from ledgerline.plans.oracle import money, with_chain
-from ledgerline.plans.q_core import stg_of
+from ledgerline.plans.q_core import mart_of, stg_of
 from ledgerline.plans.registry import query
 
 CTE_OF = {"stg_sales": "stg", "int_customer_sales": "int_cust", "int_product_sales": "int_prod",
@@ -39,9 +39,9 @@ def _checks_sql(kinds: set[str]) -> str:
 
 
 def _run(spark, d, kinds):
-    models = M.build_marts(stg_of(spark, d))
     needed = [c for c in CHECKS if c.kind in kinds]
-    return X.run_checks(models, needed, ids={c: i + 1 for i, c in enumerate(CHECKS)})
+    names = {c.model for c in needed} | {c.to[0] for c in needed if c.to}
+    return X.run_checks({n: mart_of(spark, d, n) for n in sorted(names)}, needed, ids={c: i + 1 for i, c in enumerate(CHECKS)})
 
 
 @query("dt_not_null", _checks_sql({"not_null"}))
@@ -70,10 +70,6 @@ def dt_summary(spark, d):
 
 
 # ---------------------------------------------------------------- metrics
-def _marts(spark, d):
-    return M.build_marts(stg_of(spark, d))
-
-
 @query("kpi_scorecard", with_chain(f"""SELECT f.total_revenue, f.total_orders,
     round(f.total_revenue / nullif(f.total_orders, 0), 2) AS avg_order_value, f.total_customers,
     (SELECT arg_max(mom_growth_pct, month_start) FROM monthly) AS latest_mom_growth_pct
@@ -81,20 +77,20 @@ def _marts(spark, d):
                count(DISTINCT customer_key) AS total_customers FROM fact) f"""), ("total_revenue",))
 def kpi_scorecard(spark, d):
     fact = M.fact_measures(stg_of(spark, d))
-    return R.kpi_scorecard(fact, M.sales_monthly(fact))
+    return R.kpi_scorecard(fact, mart_of(spark, d, "sales_monthly"))
 
 
 @query("kpi_new_customers", with_chain("""SELECT CAST(date_trunc('month', first_order_date) AS DATE) AS month_start,
     count(*) AS new_customers FROM int_cust GROUP BY 1"""))
 def kpi_new_customers(spark, d):
-    return R.new_customers_by_month(M.int_customer_sales(stg_of(spark, d)))
+    return R.new_customers_by_month(mart_of(spark, d, "int_customer_sales"))
 
 
 @query("kpi_repeat_customers", with_chain("""SELECT count(*) AS total_customers,
     count(*) FILTER (WHERE is_repeat_customer) AS repeat_customers,
     round(count(*) FILTER (WHERE is_repeat_customer) / count(*), 4) AS repeat_rate FROM dim_cust"""))
 def kpi_repeat_customers(spark, d):
-    return R.repeat_customers(M.dim_customer(stg_of(spark, d)))
+    return R.repeat_customers(M.customer_rollup(stg_of(spark, d)).selectExpr("*", "order_count > 1 AS is_repeat_customer"))
 
 
 @query("revenue_per_customer", with_chain(f"""SELECT r.total_revenue, c.total_customers,
@@ -109,7 +105,7 @@ def revenue_per_customer(spark, d):
 @query("revenue_by_category", with_chain(f"""SELECT category, {money('total_revenue')} AS total_revenue,
     count(*) AS products FROM dim_prod GROUP BY category"""), ("total_revenue",))
 def revenue_by_category(spark, d):
-    return R.revenue_by_category(M.dim_product(stg_of(spark, d)))
+    return R.revenue_by_category(M.int_product_sales(stg_of(spark, d)))
 
 
 @query("revenue_by_region", with_chain(f"""SELECT region, {money('revenue')} AS total_revenue,
@@ -123,36 +119,35 @@ def revenue_by_region(spark, d):
   FROM fact f LEFT JOIN dim_cust c ON f.customer_key = c.customer_key
   LEFT JOIN dim_date dd ON f.date_key = dd.date_day GROUP BY ALL"""), ("total_revenue",))
 def revenue_by_segment_weekday(spark, d):
-    m = _marts(spark, d)
-    return R.revenue_by_segment_weekday(m["fact_sales"], m["dim_customer"], m["dim_date"])
+    return R.revenue_by_segment_weekday(*(mart_of(spark, d, n) for n in ("fact_sales", "dim_customer", "dim_date")))
 
 
 @query("top_products_units", with_chain(
     "SELECT * FROM dim_prod ORDER BY units_sold DESC NULLS LAST, product_id NULLS FIRST LIMIT 10"),
        ("total_revenue",))
 def top_products_units(spark, d):
-    return R.top_k(M.dim_product(stg_of(spark, d)), "units_sold", "product_id", 10)
+    return R.top_k(mart_of(spark, d, "dim_product"), "units_sold", "product_id", 10)
 
 
 @query("top_products_revenue", with_chain(
     "SELECT * FROM dim_prod ORDER BY total_revenue DESC NULLS LAST, product_id NULLS FIRST LIMIT 10"),
        ("total_revenue",))
 def top_products_revenue(spark, d):
-    return R.top_k(M.dim_product(stg_of(spark, d)), "total_revenue", "product_id", 10)
+    return R.top_k(mart_of(spark, d, "dim_product"), "total_revenue", "product_id", 10)
 
 
 @query("top_categories", with_chain(f"""SELECT * FROM (SELECT category, {money('total_revenue')} AS total_revenue,
     count(*) AS products FROM dim_prod GROUP BY category)
   ORDER BY total_revenue DESC NULLS LAST, category NULLS FIRST LIMIT 5"""), ("total_revenue",))
 def top_categories(spark, d):
-    return R.top_k(R.revenue_by_category(M.dim_product(stg_of(spark, d))), "total_revenue", "category", 5)
+    return R.top_k(R.revenue_by_category(M.int_product_sales(stg_of(spark, d))), "total_revenue", "category", 5)
 
 
 @query("top_customers", with_chain(
     "SELECT * FROM dim_cust ORDER BY total_revenue DESC NULLS LAST, customer_id NULLS FIRST LIMIT 10"),
        ("total_revenue",))
 def top_customers(spark, d):
-    return R.top_k(M.dim_customer(stg_of(spark, d)), "total_revenue", "customer_id", 10)
+    return R.top_k(mart_of(spark, d, "dim_customer"), "total_revenue", "customer_id", 10)
 
 
 # Fixed report filter used by the registered query: two years, two regions,
@@ -168,20 +163,19 @@ FILTER = dict(date_from="1996-01-01", date_to="1997-12-31", regions=["America",
     AND p.category IN ('Economy', 'Promo') AND contains(lower(p.product_name), 'bolt')"""),
        ("unit_price", "discount", "revenue"))
 def filtered_sales(spark, d):
-    m = _marts(spark, d)
-    return R.filtered_sales(m["fact_sales"], m["dim_product"], **FILTER)
+    return R.filtered_sales(mart_of(spark, d, "fact_sales"), mart_of(spark, d, "dim_product"), **FILTER)
 
 
 @query("yoy_calendar", with_chain("""SELECT m.month_start, m.total_revenue, p.total_revenue AS prev_year_revenue,
-    round(100.0 * (m.total_revenue - p.total_revenue) / nullif(p.total_revenue, 0), 2) AS yoy_calendar_pct
+    round(100.0 * (m.total_revenue - p.total_revenue) / nullif(p.total_revenue, 0), 2) + 0.0 AS yoy_calendar_pct
   FROM monthly m LEFT JOIN monthly p ON p.month_start = CAST(m.month_start - INTERVAL 12 MONTH AS DATE)"""),
        ("total_revenue", "prev_year_revenue"))
 def yoy_calendar(spark, d):
-    return R.yoy_calendar(M.sales_monthly(M.fact_measures(stg_of(spark, d))))
+    return R.yoy_calendar(mart_of(spark, d, "sales_monthly"))
 
 
 @query("kpi_new_customers_period", with_chain("""SELECT count(*) AS new_customers FROM int_cust
     WHERE first_order_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""))
 def kpi_new_customers_period(spark, d):
     """AG16 for one period (a calendar year of the data)."""
-    return R.new_customers_between(M.int_customer_sales(stg_of(spark, d)), "1996-01-01", "1996-12-31")
+    return R.new_customers_between(mart_of(spark, d, "int_customer_sales"), "1996-01-01", "1996-12-31")

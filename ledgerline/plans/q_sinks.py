@@ -10,7 +10,7 @@ from ledgerline.functions.materialize import table_path
 from ledgerline.operators import forecast as FC
 from ledgerline.operators import marts as M
 from ledgerline.plans.oracle import with_chain
-from ledgerline.plans.q_core import raw_of, stg_of
+from ledgerline.plans.q_core import mart_of, raw_of, stg_of
 from ledgerline.plans.q_forecast import FC_CTES, _best_baselines, _prepared, _full
 from ledgerline.plans.registry import query
 from ledgerline.sources import raw as R
@@ -24,7 +24,7 @@ def src_csv_roundtrip(spark, d):
     """SRC1 + SRC2: the raw lines exported as headered CSV, scanned back as all-string
     columns with missing-value tokens nulled, and schema-checked."""
     path = K.export_csv(raw_of(spark, d), table_path(raw_of(spark, d), "raw_csv"))
-    df = R.read_raw_csv(spark, path)
+    df = R.read_raw_csv(spark, path, multi_line=True)
     R.validate_schema(df)
     return df
 
@@ -86,12 +86,38 @@ def snk_model_comparison(spark, d):
     return spark.read.json(path)
 
 
-@query("snk_metadata", None)
+@query("snk_metadata", with_chain("SELECT 'driver tables' AS source, count(*) AS row_count, CAST(14 AS BIGINT) AS column_count FROM raw"))
 def snk_metadata(spark, d):
-    """SRC4: ingest metadata of the exported raw file (row/column counts, sha256)."""
+    """SRC4: ingest metadata of the exported raw files (one row per file),
+    summed over the files: their number and names depend on the cluster."""
     raw = raw_of(spark, d)
-    path = K.export_csv(raw.coalesce(1), table_path(raw, "raw_meta_csv"))
-    return R.ingest_metadata(spark, path, source="driver tables")
+    path = K.export_csv(raw, table_path(raw, "raw_meta_csv"))
+    meta = R.ingest_metadata(spark, path, source="driver tables", multi_line=True)
+    return meta.groupBy("source").agg(F.sum("row_count").alias("row_count"), F.max("column_count").alias("column_count"))
+
+
+_TEXTS = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 3 = 0 THEN '"' || text || '", said' ELSE text END AS text, lang
+    FROM documents"""
+
+
+@query("src_csv_texts", _TEXTS)
+def src_csv_texts(spark, d):
+    """SRC1: texts with line breaks, commas and (by a fixed rule) quotes, exported
+    as CSV and read back."""
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    quoted = F.concat(F.lit('"'), F.col("text"), F.lit('", said'))
+    df = docs.select(F.col("doc_id").cast("string").alias("doc_id"),
+                     F.when(F.col("doc_id") % 3 == 0, quoted).otherwise(F.col("text")).alias("text"), "lang")
+    return R.read_raw_csv(spark, K.export_csv(df, table_path(df, "texts_csv")), multi_line=True)
+
+
+@query("snk_target", with_chain("SELECT *, 'target' AS sink FROM monthly"), ("total_revenue",))
+def snk_target(spark, d):
+    """SNK2/SNK3: a target that can be written is used."""
+    monthly = mart_of(spark, d, "sales_monthly")
+    target = table_path(monthly, "monthly_target")
+    used = K.write_with_fallback(monthly, target, table_path(monthly, "monthly_unused"))
+    return spark.read.parquet(target).withColumn("sink", F.lit(used))
 
 
 @query("hlt_counts", with_chain("""SELECT * FROM (VALUES ('sales_staging', (SELECT count(*) FROM clean), 'ok'),
@@ -106,9 +132,3 @@ def hlt_counts(spark, d):
     K.write_table(M.sales_monthly(M.fact_measures(stg)), f"{base}/sales_monthly")
     names = ["sales_staging", "sales_daily", "sales_monthly", "forecast_results"]
     return K.health_counts(spark, {n: f"{base}/{n}" for n in names})
-
-
-@query("hlt_describe", None)
-def hlt_describe(spark, d):
-    """HLT2: column names and types of the staging table."""
-    return K.describe(stg_of(spark, d))

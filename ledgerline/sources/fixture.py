@@ -6,7 +6,8 @@ global views) and on DuckDB (tables by name), so both engines start from an
 identical raw input. Each line gets a bad date, null customer, padded
 upper-case name, null/lower-case category, quantity -1, null/-5 price, -1
 sales, null/0.95 discount, null region, null segment or an exact duplicate
-according to fixed residues of a row hash.
+according to fixed residues of a row hash; some names carry no-break spaces,
+tabs, quotes, bars or a line break, some quantities are halves or are padded.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ raw as (select
  concat('ORD-', cast(l_orderkey as string)) as order_id,
  case when h%997=3 then 'not-a-date' else substr(cast(cast(o_orderdate as date) as string),1,10) end as order_date,
  case when h%499=5 then null else concat('C-', cast(o_custkey as string)) end as customer_id,
- case when h%101=7 then concat('  ', upper(c_name), '  ') else c_name end as customer_name,
- concat('P-', cast(l_partkey as string)) as product_id, p_name as product_name,
+ case when h%101=7 then concat('  ', upper(c_name), '  ') when h%103=9 then concat(chr(160), c_name, chr(9)) else c_name end as customer_name,
+ concat('P-', cast(l_partkey as string)) as product_id,
+ case when h%107=3 then concat(p_name, ' 5" pipe, "x|y"') when h%109=5 then concat(p_name, chr(10), 'second, line') else p_name end as product_name,
  case when h%503=11 then null when h%50=1 then lower(p_type) else p_type end as category,
- case when h%701=13 then '-1' else cast(cast(l_quantity as int) as string) end as quantity,
+ case when h%701=13 then '-1' when h%97=4 then concat(cast(cast(l_quantity as int) as string), '.5')
+  when h%89=6 then concat(chr(9), cast(cast(l_quantity as int) as string), ' ') else cast(cast(l_quantity as int) as string) end as quantity,
  case when h%401=17 then null when h%1009=19 then '-5.0' else cast(l_extendedprice as string) end as unit_price,
  case when h%601=31 then '-1.0' else cast(l_extendedprice as string) end as sales,
  case when h%211=23 then null when h%613=37 then '0.95' else cast(l_discount as string) end as discount,

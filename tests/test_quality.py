@@ -57,7 +57,7 @@ def test_gate(spark):
 def test_flagged_rows_and_long_report(spark):
     df = rows(spark, row(QUALITY_BASE), row(QUALITY_BASE), row(QUALITY_BASE, order_id="X", customer_id=None))
     fl = {r["order_id"]: r for r in Q.flagged_rows(df).collect()}
-    assert fl["O1"]["copies"] == 2 and fl["O1"]["flagged_copies"] == 1
+    assert fl["A-77"]["copies"] == 2 and fl["A-77"]["flagged_copies"] == 1
     assert fl["X"]["flagged_copies"] == 1 and fl["X"]["no_customer"]
     long = Q.quality_report_long(Q.quality_report(df)).orderBy("position").collect()
     assert [r["metric"] for r in long] == Q.REPORT_KEYS

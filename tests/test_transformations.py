@@ -1,88 +1,80 @@
+"""Cleaning rules, table-driven: each case changes a few fields of a base line
+and says which of its fields come out how, or that the line goes."""
+
+import pytest
 from conftest import CLEAN_BASE, row, rows
 
 from ledgerline.operators import clean as C
 
-
-def cleaned(spark, *ds):
-    return C.clean(rows(spark, *ds)).collect()
-
-
-def test_removes_duplicates(spark):
-    assert len(cleaned(spark, row(CLEAN_BASE), row(CLEAN_BASE))) == 1
-
-
-def test_drops_missing_customer_id(spark):
-    out = cleaned(spark, row(CLEAN_BASE, customer_id=None), row(CLEAN_BASE, order_id="O2"))
-    assert [r["order_id"] for r in out] == ["O2"]
-
-
-def test_drops_invalid_quantity(spark):
-    assert len(cleaned(spark, row(CLEAN_BASE, quantity="-5"), row(CLEAN_BASE, order_id="O2"))) == 1
-
-
-def test_drops_invalid_dates(spark):
-    assert len(cleaned(spark, row(CLEAN_BASE, order_date="not-a-date"), row(CLEAN_BASE, order_id="O2"))) == 1
-
-
-def test_normalizes_category_casing(spark):
-    out = cleaned(spark, row(CLEAN_BASE, category="ELECTRONICS"), row(CLEAN_BASE, order_id="O2", category="electronics"))
-    assert {r["category"] for r in out} == {"Electronics"}
-
-
-def test_recomputes_sales(spark):
-    out = cleaned(spark, row(CLEAN_BASE, quantity="3", unit_price="10.0", discount="0.1", sales="999999"))
-    assert out[0]["sales"] == 27.0
-
-
-def test_fills_missing_discount(spark):
-    assert cleaned(spark, row(CLEAN_BASE, discount=None))[0]["discount"] == 0
-
-
-def test_text_rules(spark):
-    r = cleaned(spark, row(CLEAN_BASE, customer_name="\tmary-jane o'neil \n", country=" usa ", region=None,
-                           segment=None, product_name="  usb-c Cable\t", category=None))[0]
-    assert r["customer_name"] == "Mary-Jane O'Neil"
-    assert r["country"] == "Usa" and r["region"] == "Unknown" and r["segment"] == "Consumer"
-    assert r["product_name"] == "usb-c Cable" and r["category"] == "Unknown"
-
-
-def test_price_imputation(spark):
-    base = dict(CLEAN_BASE, product_id="P1")
-    out = {r["order_id"]: r for r in cleaned(
-        spark,
-        row(base, order_id="A", unit_price="10.0"), row(base, order_id="B", unit_price="20.0"),
-        row(base, order_id="C", unit_price="-3.0"),           # -> median of 10, 20, -3 = 10
-        row(base, order_id="D", unit_price=None),             # -> 10
-        row(base, order_id="E", product_id="P2", unit_price=None),   # no median: dropped
-        row(base, order_id="F", product_id="P3", unit_price="-4"),   # median -4 stays negative: dropped
-        row(base, order_id="G", product_id=None, unit_price="-1"),   # null product: no median, dropped
-    )}
-    assert set(out) == {"A", "B", "C", "D"}
-    assert out["C"]["unit_price"] == 10.0 and out["D"]["unit_price"] == 10.0
-
-
-def test_discount_clipped(spark):
-    out = {r["order_id"]: r["discount"] for r in cleaned(
-        spark, row(CLEAN_BASE, order_id="A", discount="0.95"), row(CLEAN_BASE, order_id="B", discount="-0.2"))}
-    assert out == {"A": 0.9, "B": 0.0}
-
-
-def test_quantity_parsing(spark):
-    out = {r["order_id"]: r["quantity"] for r in cleaned(
-        spark, row(CLEAN_BASE, order_id="A", quantity="2.7"), row(CLEAN_BASE, order_id="B", quantity="2.5d"))}
-    assert out == {"A": 2.7}
-
-
-def test_winsorize_per_category(spark):
-    ds = [row(CLEAN_BASE, order_id=f"O{i}", quantity="1", unit_price=str(float(i + 1)), discount="0")
-          for i in range(100)]
-    ds.append(row(CLEAN_BASE, order_id="OTHER", category="toys", quantity="1", unit_price="5000", discount="0"))
-    out = {r["order_id"]: r["sales"] for r in cleaned(spark, *ds)}
-    # 99th percentile of 1..100 with linear interpolation: 99.01
-    assert abs(out["O99"] - 99.01) < 1e-9 and out["O98"] == 99.0
-    assert out["OTHER"] == 5000.0     # a one-row category caps at itself
-
-
-def test_half_even_rounding(spark):
-    out = cleaned(spark, row(CLEAN_BASE, quantity="1", unit_price="0.125", discount="0"))
-    assert out[0]["sales"] == 0.12
+GONE = None
+LINES = {
+    "a plain line is tidied": ({}, dict(customer_name="Mara Lind", category="Tools", region="Nordics", country="Norway",
+                                        segment="Trade", discount=0.0, sales=50.0, quantity=4.0, unit_price=12.5)),
+    "no customer": (dict(customer_id=None), GONE),
+    "a date in words": (dict(order_date="30 November"), GONE),
+    "a day that does not exist": (dict(order_date="2023-02-30"), GONE),
+    "a date with blanks": (dict(order_date=" 2023-11-30 "), {}),
+    "quantity zero": (dict(quantity="0"), GONE),
+    "quantity below zero": (dict(quantity="-2"), GONE),
+    "quantity in words": (dict(quantity="four"), GONE),
+    "quantity with a type suffix": (dict(quantity="4d"), GONE),
+    "quantity not finite": (dict(quantity="inf"), GONE),
+    "half a piece": (dict(quantity="2.5"), dict(quantity=2.5, sales=31.25)),
+    "quantity after a tab": (dict(quantity="\t4"), dict(quantity=4.0)),
+    "quantity in scientific form": (dict(quantity="1e1"), dict(quantity=10.0)),
+    "discount too high": (dict(discount="0.97"), dict(discount=0.9, sales=5.0)),
+    "discount below zero": (dict(discount="-0.3"), dict(discount=0.0)),
+    "discount in words": (dict(discount="half"), dict(discount=0.0)),
+    "total rounded half to even": (dict(quantity="1", unit_price="2.125"), dict(sales=2.12)),
+    "defaults": (dict(category=None, region=None, segment=None), dict(category="Unknown", region="Unknown", segment="Consumer")),
+    "nulls that stay": (dict(customer_name=None, country=None), dict(customer_name=None, country=None)),
+    "no-break and other white space": (dict(customer_name="\u00a0\u2003ola nord\u3000", product_name="\x1fvice\x85"),
+                                       dict(customer_name="Ola Nord", product_name="vice")),
+    "words cut at any non-letter": (dict(customer_name="anne-lise d'or", category="do it yourself/diy"),
+                                    dict(customer_name="Anne-Lise D'Or", category="Do It Yourself/Diy")),
+    "product names keep their case": (dict(product_name="  HDMI cable "), dict(product_name="HDMI cable")),
+}
+
+
+@pytest.fixture(scope="module")
+def cleaned(spark):
+    """All lines through the rules at once, each with a product of its own."""
+    lines = [row(CLEAN_BASE, order_id=name, product_id=name, **({"category": f"c{i}"} if "category" not in change and i else {}),
+                 **{k: v for k, v in change.items()}) for i, (name, (change, _)) in enumerate(LINES.items())]
+    return {r["order_id"]: r for r in C.clean(rows(spark, *lines)).collect()}
+
+
+@pytest.mark.parametrize("name", LINES)
+def test_line(cleaned, name):
+    want = LINES[name][1]
+    if want is GONE:
+        assert name not in cleaned
+    else:
+        assert {k: cleaned[name][k] for k in want} == want
+
+
+def test_equal_lines_count_once_and_others_stay(spark):
+    lines = [row(CLEAN_BASE)] * 3 + [row(CLEAN_BASE, region=None)] * 2 + [row(CLEAN_BASE, discount="0")]
+    assert C.clean(rows(spark, *lines)).count() == 3
+    assert C.clean(rows(spark, *lines), dedup_after=True).count() == 2
+
+
+PRICES = [  # product, price, price after the rules
+    ("x", "8", 8.0), ("x", "30", 30.0), ("x", "-1", 8.0), ("x", None, 8.0), ("x", "", 8.0),   # median of 8, 30, -1
+    ("even", "1", 1.0), ("even", "2", 2.0), ("even", "n/a", 1.5),
+    ("only bad", "-4", GONE), ("unknown", None, GONE), (None, "-1", GONE), (None, "7", 7.0), ("free", "0", 0.0),
+]
+
+
+def test_missing_prices_take_the_median_of_the_product(spark):
+    lines = [row(CLEAN_BASE, order_id=str(i), product_id=p, unit_price=v) for i, (p, v, _) in enumerate(PRICES)]
+    out = {int(r["order_id"]): r["unit_price"] for r in C.clean(rows(spark, *lines)).collect()}
+    assert out == {i: want for i, (_, _, want) in enumerate(PRICES) if want is not GONE}
+
+
+def test_sales_are_capped_per_category(spark):
+    lines = [row(CLEAN_BASE, order_id=f"{c}{i}", category=c, quantity="1", unit_price=str(i * f))
+             for c, n, f in (("few", 3, 1.0), ("many", 201, 10.0)) for i in range(n)]
+    out = {r["order_id"]: r["sales"] for r in C.clean(rows(spark, *lines)).collect()}
+    assert out["many200"] == out["many199"] == 1980.0 and out["many198"] == 1980.0 and out["many197"] == 1970.0
+    assert abs(out["few2"] - 1.98) < 1e-9

@@ -28,9 +28,7 @@ class PipelineConfig:
     # bracket keeps about 6 * n / accuracy values of a group for the exact step
     quantile_accuracy: int = 100000
     # exact quantile plans: "simple" (percentile aggregate) or "bracketed" (skew-split)
-    median_method: str = "simple"
+    median_method: str = "bracketed"
     cap_method: str = "bracketed"
-    # largest lookup (rows) that may be broadcast after its size has been checked
-    broadcast_max_rows: int = 1_000_000
     # confidence band multiplier (about an 80 % interval)
     band_z: float = 1.28

@@ -3,46 +3,27 @@
 The order matters: product medians see only rows that survived the first five
 rules, and category caps see normalized categories.
 
-Plan shape: one aggregation for the full-row de-duplication; the price
-imputation touches only the rows with a bad price (the good rows pass straight
-through, so the whole table is never joined for a handful of fixes); the
-per-category cap is an exact quantile computed skew-safely and broadcast
-after its row count has been checked.
-
-Two intermediate results are persisted (memory, spilling to disk; lost blocks
-are recomputed from lineage) because each is read by more than one branch.
+Plan shape: one aggregation for the full-row de-duplication, written once
+because several branches read it; everything up to the imputation is a narrow
+projection of that table. Medians are computed only for products that have a
+bad price, and only the rows with a bad price are joined to them. The table
+before the caps is written once: the caps read two of its columns, the result
+reads the rest. Join strategies are left to AQE.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import PipelineConfig
-from ledgerline.functions.lookup import checked_broadcast
+from ledgerline.functions.materialize import materialize
 from ledgerline.functions.quantile import exact_group_quantile
 from ledgerline.functions.text import np_round2, safe_date, safe_double, strip_ws, title_case
 from ledgerline.schema import NUMERIC_COLUMNS, RAW_COLUMNS
 
 CFG = PipelineConfig()
 
-# DataFrames persisted by clean(), released by release()
-_PERSISTED: list[DataFrame] = []
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    return df
-
-
-def release() -> None:
-    """Unpersist the intermediates cached by clean() (call once its output is written)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
 def dedup(raw: DataFrame) -> DataFrame:
     """CL1: drop exact full-row duplicates (nulls compare equal)."""
     return raw.select(*RAW_COLUMNS).dropDuplicates()
@@ -68,11 +49,8 @@ def impute_price(df: DataFrame, cfg: PipelineConfig = CFG) -> DataFrame:
     (median over non-null prices, negatives included; a null product_id gets
     no median); rows still without a non-negative price are dropped."""
     bad = F.col("unit_price").isNull() | (F.col("unit_price") < 0)
-    # Spark's percentile keeps one map entry per distinct price of a product
-    # (catalogue price points, not rows), so even a product holding a third
-    # of all lines merges a small map; cfg.median_method="bracketed" switches
-    # to the fully skew-split plan.
-    medians = exact_group_quantile(df.where(F.col("product_id").isNotNull()), ["product_id"],
+    need = df.where(bad & F.col("product_id").isNotNull()).select("product_id").distinct()
+    medians = exact_group_quantile(df.join(need, "product_id", "left_semi"), ["product_id"],
                                    "unit_price", 0.5, out="_median", accuracy=cfg.quantile_accuracy,
                                    method=cfg.median_method)
     fixed = (df.where(bad).join(medians, "product_id", "left")
@@ -112,41 +90,25 @@ def category_caps(df: DataFrame, cfg: PipelineConfig = CFG) -> DataFrame:
                                 accuracy=cfg.quantile_accuracy, method=cfg.cap_method)
 
 
-def winsorize(df: DataFrame, cfg: PipelineConfig = CFG, checked: bool = True) -> DataFrame:
-    """CL14: sales capped at the per-category percentile; rows kept, not re-rounded.
-
-    ``checked=True`` evaluates the caps now and broadcasts them when their row
-    count is within ``broadcast_max_rows``; ``False`` keeps the plan lazy and
-    leaves the join strategy to AQE."""
+def winsorize(df: DataFrame, cfg: PipelineConfig = CFG) -> DataFrame:
+    """CL14: sales capped at the per-category percentile; rows kept, not re-rounded."""
     caps = category_caps(df, cfg)
-    if checked:
-        caps = checked_broadcast(caps, cfg.broadcast_max_rows)
-        _PERSISTED.append(caps)
     return (df.join(caps, "category", "left")
             .withColumn("sales", F.least(F.col("sales"), F.coalesce(F.col("_cap"), F.col("sales"))))
             .drop("_cap"))
 
 
 def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
-          checked_caps: bool = True, deduplicated: bool = False) -> DataFrame:
+          deduplicated: bool = False) -> DataFrame:
     """All rules CL1-CL15; output keeps the 14 raw columns in their order,
     order_date as DATE and the four numeric columns as DOUBLE.
 
     ``dedup_after=True`` additionally removes rows that became identical after
     normalization (the original de-duplicates only before it).
-    ``deduplicated=True``: ``raw`` holds distinct rows already (CL1 done)."""
-    df = raw.select(*RAW_COLUMNS) if deduplicated else dedup(raw)
-    df = parse_dates(df)
-    df = coerce_numbers(df)
-    # read by three branches below (medians, good rows, bad rows)
-    df = _persist(drop_unattributable(df))
-    df = impute_price(df, cfg)
-    df = fill_discount(df)
-    df = normalize_text(df)
-    df = recompute_sales(df)
+    ``deduplicated=True``: ``raw`` is a written table of distinct rows (CL1 done)."""
+    df = raw.select(*RAW_COLUMNS) if deduplicated else materialize(dedup(raw), "dedup")
+    df = drop_unattributable(coerce_numbers(parse_dates(df)))
+    df = recompute_sales(normalize_text(fill_discount(impute_price(df, cfg))))
     if dedup_after:
         df = df.dropDuplicates()
-    # two passes: the per-category caps, then applying them
-    df = _persist(df)
-    df = winsorize(df, cfg, checked=checked_caps)
-    return df.select(*RAW_COLUMNS)
+    return winsorize(materialize(df, "before-caps"), cfg).select(*RAW_COLUMNS)

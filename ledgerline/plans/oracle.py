@@ -120,7 +120,7 @@ CTES = [
 
 def with_chain(select_sql: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:
     ctes = CTES + (extra_ctes or [])
-    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + select_sql
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({s})" for n, s in ctes) + "\n" + select_sql
 
 
 def present(select_sql: str, double_cols: list[str], digits: int = 4) -> str:

@@ -187,51 +187,118 @@ def fc_history_and_forecast(spark, d):
     return FC.history_and_forecast(prepared, fc)
 
 
-# ---- with exponential smoothing (no SQL oracle: the parameter search is iterative)
+# ---- with exponential smoothing: the oracle runs the recursion over time as a
+# recursive query, one state for each series and grid point
+def _smoothing_ctes(p: str, hist: str) -> list[tuple[str, str]]:
+    """CTEs ending in {p}_fit(series, seasonal, alpha, beta, gamma, level, trend,
+    season, sse, n), fitted on ``hist`` (series, idx, y)."""
+    mid = repr((S - 1) / 2.0)
+
+    def grid(name: str, rows: str) -> tuple[str, str]:
+        return name, f"""SELECT g.series, g.a, g.b, g.g, s.seasonal, s.l0, s.b0, s.s0, s.tail
+            FROM ({rows}) g JOIN {p}_start s ON g.series = s.series"""
+
+    def run(name: str, over: str) -> tuple[str, str]:
+        return name, f"""SELECT series, a, b, g, 0 AS t, l0 AS lv, b0 AS tr, s0 AS s, CAST(0 AS DOUBLE) AS sse, seasonal, tail FROM {over}
+          UNION ALL
+          SELECT series, a, b, g, t + 1, ln, b * (ln - lv) + (1 - b) * tr,
+            CASE WHEN seasonal THEN list_transform(s, lambda x, i: CASE WHEN i = t % {S} + 1 THEN g * (y - lv - tr) + (1 - g) * sc ELSE x END)
+                 ELSE s END,
+            sse + (y - (lv + tr + sc)) * (y - (lv + tr + sc)), seasonal, tail
+          FROM (SELECT *, a * (y - sc) + (1 - a) * (lv + tr) AS ln
+                FROM (SELECT *, tail[t + 1] AS y, CASE WHEN seasonal THEN s[t % {S} + 1] ELSE 0.0 END AS sc
+                      FROM {name} WHERE t < len(tail)))"""
+
+    def best(name: str, over: str) -> tuple[str, str]:
+        return name, f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY sse, a, b, g) AS rn
+            FROM {over} WHERE t = len(tail)) WHERE rn = 1"""
+
+    tenths = "(SELECT CAST(i AS DOUBLE) / 10 AS v FROM range(1, 10) r(i))"
+    around = lambda c: f"(SELECT DISTINCT series, least(greatest(round({c} + k * 0.02, 2), 0.01), 0.99) AS v FROM {p}_best1, range(-4, 5) q(k))"
+    return [
+        (f"{p}_list", f"SELECT series, list(y ORDER BY idx) AS y, count(*) AS n FROM {hist} GROUP BY series"),
+        (f"{p}_mean", f"""SELECT series, y, n, n >= {2 * S} AS seasonal, list_sum(y[1:{S}]) / {S}.0 AS m1,
+            list_sum(y[{S + 1}:{2 * S}]) / {S}.0 AS m2 FROM {p}_list"""),
+        (f"{p}_start", f"""SELECT series, n, seasonal,
+            CASE WHEN seasonal THEN m1 + {mid} * ((m2 - m1) / {S}) ELSE y[1] END AS l0,
+            CASE WHEN seasonal THEN (m2 - m1) / {S} WHEN n > 1 THEN y[2] - y[1] ELSE 0.0 END AS b0,
+            CASE WHEN seasonal THEN list_transform(y[1:{S}], lambda x, i: x - m1 - ((i - 1) - {mid}) * ((m2 - m1) / {S}))
+                 ELSE list_transform(range(0, {S}), lambda i: CAST(0 AS DOUBLE)) END AS s0,
+            CASE WHEN seasonal THEN y[{S + 1}:] ELSE y[2:] END AS tail FROM {p}_mean"""),
+        grid(f"{p}_grid1", f"""SELECT st.series, a.v AS a, b.v AS b, CASE WHEN st.seasonal THEN c.v ELSE 0.0 END AS g
+            FROM {p}_start st, {tenths} a, {tenths} b, {tenths} c WHERE st.seasonal OR c.v < 0.15"""),
+        run(f"{p}_run1", f"{p}_grid1"),
+        best(f"{p}_best1", f"{p}_run1"),
+        grid(f"{p}_grid2", f"""SELECT DISTINCT o.series, a.v AS a, b.v AS b, CASE WHEN o.seasonal THEN c.v ELSE 0.0 END AS g
+            FROM {p}_best1 o JOIN {around('a')} a ON a.series = o.series JOIN {around('b')} b ON b.series = o.series
+            JOIN {around('g')} c ON c.series = o.series"""),
+        run(f"{p}_run2", f"{p}_grid2"),
+        best(f"{p}_best2", f"{p}_run2"),
+        (f"{p}_fit", f"""SELECT o.series, o.seasonal, a AS alpha, b AS beta, CASE WHEN o.seasonal THEN g END AS gamma, lv AS level,
+            tr AS trend, CASE WHEN o.seasonal THEN list_transform(range(0, {S}), lambda i: s[(i + len(o.tail)) % {S} + 1]) ELSE s END AS season,
+            sse, CAST(st.n AS INTEGER) AS n FROM {p}_best2 o JOIN {p}_start st ON st.series = o.series"""),
+    ]
+
+
+def _smoothing_rows(targets: str, fit: str, cols: str) -> str:
+    return f"""SELECT {cols}, 'Exponential Smoothing' AS model, f.level + t.step * f.trend + f.season[(t.step - 1) % {S} + 1] AS y_pred
+        FROM {targets} t JOIN {fit} f ON f.series = t.series"""
+
+
+SMOOTH_CTES = FC_CTES + _smoothing_ctes("fc_h", "fc_train") + [
+    ("fc_hw", _smoothing_rows("fc_test", "fc_h_fit", "t.series, t.origin, t.step, t.period_start, t.y_true")),
+    ("fc_hold4", "SELECT * FROM fc_hold UNION ALL SELECT * FROM fc_hw"),
+    ("fc_metrics4", dict(FC_CTES)["fc_metrics"].replace("FROM fc_hold ", "FROM fc_hold4 ")),
+    ("fc_best4", dict(FC_CTES)["fc_best"].replace("FROM fc_metrics)", "FROM fc_metrics4)")),
+    ("fc_comparison", """SELECT m.series, m.model, m.MAE, m.RMSE, m.MAPE, m.model = b.best_model AS is_best
+        FROM fc_metrics4 m JOIN fc_best4 b ON m.series = b.series"""),
+]
+FORECAST_CTES = SMOOTH_CTES + _smoothing_ctes("fc_f", "fc_hist") + [
+    ("fc_fpred4", "SELECT * FROM fc_fpred UNION ALL " + _smoothing_rows(
+        "fc_future", "fc_f_fit", "t.series, t.origin, t.step, t.forecast_date")),
+    ("fc_band4", dict(FC_CTES)["fc_band"].replace("fc_fpred p", "fc_fpred4 p").replace("fc_best b", "fc_best4 b")),
+]
+
+
 def _full(spark, d):
     return FC.run_forecasting(_prepared(spark, d), CFG, with_smoothing=True)
 
 
-@query("fc_exp_smoothing", None)
+@query("fc_exp_smoothing", with_chain("SELECT * FROM fc_hw", SMOOTH_CTES), ("y_true", "y_pred"))
 def fc_exp_smoothing(spark, d):
     split = _split(spark, d)
     train, test = FC.holdout_targets(split)
     return HW.holt_winters_forecasts(train, test, S)
 
 
-@query("fc_exp_smoothing_params", None)
+@query("fc_exp_smoothing_params", with_chain(
+    "SELECT series, seasonal, alpha, beta, gamma, level, trend, sqrt(sse / n) AS one_step_rmse, n FROM fc_f_fit",
+    FC_CTES + _smoothing_ctes("fc_f", "fc_hist")), ("level", "trend", "one_step_rmse"))
 def fc_exp_smoothing_params(spark, d):
-    return HW.fitted_parameters(FC.eligible(_prepared(spark, d)).select("series", "idx", "y"), S)
+    fit = HW.fitted_parameters(FC.eligible(_prepared(spark, d)).select("series", "idx", "y"), S)
+    return fit.withColumn("one_step_rmse", F.sqrt(F.col("sse") / F.col("n"))).drop("sse")
 
 
-@query("fc_compare", None)
+@query("fc_compare", with_chain("SELECT * FROM fc_comparison", SMOOTH_CTES))
 def fc_compare(spark, d):
     return _full(spark, d)["comparison"]
 
 
-@query("fc_best", None)
+@query("fc_best", with_chain("SELECT * FROM fc_best4", SMOOTH_CTES))
 def fc_best(spark, d):
     return _full(spark, d)["best"]
 
 
-@query("fc_forecast", None)
+@query("fc_forecast", with_chain("SELECT * FROM fc_band4", FORECAST_CTES))
 def fc_forecast(spark, d):
-    return _full(spark, d)["forecast"]
+    return _full(spark, d)["forecast"].drop("generated_at")
 
 
-@query("fc_scorecard", None)
+@query("fc_scorecard", with_chain(f"SELECT series, {H} AS horizon, best_model AS model_name, RMSE FROM fc_best4", SMOOTH_CTES))
 def fc_scorecard(spark, d):
     return _full(spark, d)["scorecard"]
 
 
-@query("fc_forecast_total", None)
-def fc_forecast_total(spark, d):
-    """The original flow on its single series: the monthly mart's total revenue."""
-    monthly = mart_of(spark, d, "sales_monthly")
-    prepared = FC.prepare_series(FC.from_monthly_mart(monthly), as_of=AS_OF)
-    return FC.run_forecasting(prepared, CFG, with_smoothing=True)["forecast"].drop("generated_at")
-
-
 def _part(x: str) -> str:
     return f"coalesce(replace(replace({x}, '\\', '\\\\'), '|', '\\|'), '\\N')"
 
@@ -258,11 +325,11 @@ def fc_two_keys(spark, d):
     return FC.period_observations(stg_of(spark, d), ["product_name", "region"])
 
 
-def _forecast_ctes(prefix: str, obs_sql: str) -> list[tuple[str, str]]:
+def _forecast_ctes(prefix: str, obs_sql: str, ctes=FC_CTES) -> list[tuple[str, str]]:
     """The category-series CTE chain re-targeted at another observation table."""
     import re
     rename = lambda t: re.sub(r"\bfc_", f"{prefix}_", t)
-    out = [(rename(n), rename(s)) for n, s in FC_CTES]
+    out = [(rename(n), rename(s)) for n, s in ctes]
     out[0] = (f"{prefix}_obs", obs_sql)
     return out
 
@@ -296,3 +363,9 @@ def fc_band_total(spark, d):
 def fc_prepare_incomplete(spark, d):
     """FL5: asked on a day of the last month, that month is left out."""
     return _total_prepared(spark, d, AS_OF_LAST)
+
+
+@query("fc_forecast_total", with_chain("SELECT * FROM fct_band4", _forecast_ctes("fct", TOTAL_OBS, FORECAST_CTES)))
+def fc_forecast_total(spark, d):
+    """The original flow on its single series: the monthly mart's total revenue."""
+    return FC.run_forecasting(_total_prepared(spark, d), CFG, with_smoothing=True)["forecast"].drop("generated_at")

@@ -11,7 +11,7 @@ from ledgerline.operators import forecast as FC
 from ledgerline.operators import marts as M
 from ledgerline.plans.oracle import with_chain
 from ledgerline.plans.q_core import mart_of, raw_of, stg_of
-from ledgerline.plans.q_forecast import FC_CTES, _best_baselines, _prepared, _full
+from ledgerline.plans.q_forecast import FC_CTES, SMOOTH_CTES, _best_baselines, _prepared, _full
 from ledgerline.plans.registry import query
 from ledgerline.sources import raw as R
 from ledgerline.sources import sinks as K
@@ -78,7 +78,7 @@ def snk_forecast_files(spark, d):
     return back.drop("generated_at")
 
 
-@query("snk_model_comparison", None)
+@query("snk_model_comparison", with_chain("SELECT * FROM fc_comparison", SMOOTH_CTES))
 def snk_model_comparison(spark, d):
     """SNK9: model comparison (all four models, best marked) as JSON, read back."""
     comp = _full(spark, d)["comparison"]

@@ -151,7 +151,7 @@ def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(start, off)
 
 
-def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 21) -> np.ndarray:
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash of each (lower-cased) span, in pieces of bounded memory."""
     out = np.empty(len(start), np.uint64)
     i = 0
@@ -196,7 +196,7 @@ def shingles(h: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return out, first
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``limit`` bytes of text, one row at least."""
     col = batch.column(batch.schema.get_field_index(text))
     _, off = string_buffer(col)

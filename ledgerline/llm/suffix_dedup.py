@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Scratch, free_shuffles, mix, powers, prefix_hash, python_ready, slices, string_buffer, signed
 
-THRESHOLD, CELL, PIECE = 400, 10, 1 << 21
+THRESHOLD, CELL, PIECE = 400, 10, 1 << 20
 _U = np.uint64
 _LOW = _U((1 << 24) - 1)
 

@@ -278,7 +278,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pop = scratch.table(pop, "pop")
     live = scratch.table(live.join(pop, F.col("node") == F.col("x")).select("bucket", "node", "pop"), "live")
     need = nodes.join(pop, F.col("node") == F.col("x"), "left_semi").select("node", F.col("rep.id").alias("i"), F.col("rep.ref").alias("r"))
-    bag = d.join(scratch.table(need, "need"), (F.col("ref") == F.col("r")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "text")
+    # texts meet their nodes by a shuffle at every size, so that cost follows the input
+    bag = d.join(scratch.table(need, "need").hint("merge"), (F.col("ref") == F.col("r")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "text")
     bag = scratch.table(bag.mapInArrow(_bagger(k), "node binary, bag binary").dropDuplicates(["node"]), "bags")
     free_shuffles(spark)
     edges = links(live, bag, threshold, scratch)

@@ -2,7 +2,8 @@
 
 Every step is an aggregation with partial sums and an equi-join between two
 written tables, so a node with very many neighbours is split by AQE's skew
-join; nothing is gathered per node or on the driver."""
+join; nothing is gathered per node or on the driver. The steps end when every
+component is a star around its least node."""
 
 from __future__ import annotations
 
@@ -19,8 +20,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     u, v = F.greatest(a, b), F.least(a, b)
     e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     e = scratch.table(e.select(u.alias("u"), v.alias("v")).distinct(), "e0")
-    before, step = _state(e), 0
-    while before[0]:
+    step = 0
+    while not _stars(e):
         step += 1
         both = e.union(e.select("v", "u"))
         least = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).select(
@@ -34,13 +35,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         new = scratch.table(small, f"e{step}")
         for old in (f"m{step}", f"b{step}", f"l{step}", f"s{step}", f"e{step - 1}"):
             scratch.drop(old)
-        e, after = new, _state(new)
-        if after == before:
-            break
-        before = after
+        e = new
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())
 
 
-def _state(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _stars(e: DataFrame) -> bool:
+    """Whether each node has one edge up, to a node that has none."""
+    n, nodes = e.agg(F.count(F.lit(1)), F.count_distinct("u")).first()
+    return n == nodes and not e.join(e.select(F.col("u").alias("x")), F.col("v") == F.col("x"), "left_semi").limit(1).count()

@@ -45,25 +45,36 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(ranks: str):
+def added_tokens() -> dict[str, int]:
+    """The added tokens of ``byte_bpe_50k.json``, which the ranks do not hold."""
+    import json
+
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def encoder(ranks: str, added: dict[str, int] | None = None):
     """(encode, sentence-end flag of each id); loaded once per worker."""
-    if ranks not in _LOADED:
+    added = added or {}
+    name = ranks, tuple(sorted(added.items()))
+    if name not in _LOADED:
         import base64
 
         import public_tokenizers
         import tiktoken
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        ends = np.zeros(max(table.values()) + 2, bool)
+        enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=added)
+        ends = np.zeros(max(*table.values(), *added.values()) + 2, bool)
         for token, i in table.items():
             ends[i] = token.rstrip(b" \"')]").endswith((b".", b"!", b"?")) or b"\n" in token
-        _LOADED[ranks] = enc, ends
-    return _LOADED[ranks]
+        _LOADED[name] = enc, ends
+    return _LOADED[name]
 
 
 def tokens(text: str | None, enc) -> np.ndarray:
-    ids = enc.encode_to_numpy(text, disallowed_special=()) if text else np.zeros(0, np.uint32)
+    ids = enc.encode_to_numpy(text, allowed_special="all", disallowed_special=()) if text else np.zeros(0, np.uint32)
     return np.append(ids, END_ID).astype("<u4")
 
 
@@ -183,9 +194,9 @@ class Stream:
         return out
 
 
-def _packer(ranks: str, capacity: int, block: int) -> Callable:
+def _packer(ranks: str, capacity: int, block: int, added: dict[str, int] | None) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, ends = encoder(ranks)
+        enc, ends = encoder(ranks, added)
         s = Stream(TaskContext.get().partitionId() << 40, ends, capacity)
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -201,10 +212,11 @@ def _packer(ranks: str, capacity: int, block: int) -> Callable:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None,
-         capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
-    """One row per piece: see PIECE."""
+         capacity: int = CAPACITY, block: int = BLOCK, added: dict[str, int] | None = None) -> DataFrame:
+    """One row per piece: see PIECE. ``added``: literals that are one token
+    each, as ``added_tokens()``; without it they are text as any other."""
     python_ready(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     d = d.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"))
     d = d.sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"))
-    return d.mapInArrow(_packer(ranks or default_ranks(), capacity, block), PIECE)
+    return d.mapInArrow(_packer(ranks or default_ranks(), capacity, block, added), PIECE)

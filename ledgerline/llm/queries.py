@@ -118,8 +118,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerline.llm.packing import pack
-    return pack(read(spark, sf_dir, "documents"))
+    from ledgerline.llm.packing import added_tokens, pack
+    return pack(read(spark, sf_dir, "documents"), added=added_tokens())
 
 
 @query("op6_language_id")

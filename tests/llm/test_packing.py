@@ -95,3 +95,18 @@ def test_blocks_and_small_capacity():
     s.pack(True)
     total = sum(r[2] for r in s.rows)
     assert total == sum(i * 7 % 50 + 1 for i in range(40)) and s.n == 0
+
+
+def test_added_tokens_are_those_of_the_tokenizer():
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    enc, ends = packing.encoder(packing.default_ranks(), packing.added_tokens())
+    for text in ("end. <|endoftext|> new", "<|endoftext|>", "a<|endoftext|><|endoftext|>b\n", "<|endoftext|", "plain 日本 🎈"):
+        want = t.encode(text, add_special_tokens=False).ids
+        assert packing.tokens(text, enc).tolist() == [*want, 1] and max(want) < len(ends)
+
+
+def test_query_packs_added_tokens(spark, tmp_path):
+    from ledgerline.llm.queries import QUERIES
+    spark.createDataFrame([(1, "end. <|endoftext|> new")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(QUERIES["op3_packing"](spark, str(tmp_path)).collect(), key=lambda p: p.start)
+    assert {p.doc_tokens for p in rows} == {6} and sum(p.length for p in rows) == 6

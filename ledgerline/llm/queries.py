@@ -150,3 +150,70 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + (x["b"] - x["a"]))
     return out.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_words", removed.alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), "spans")
+
+
+SPELLING_SQL = """
+WITH RECURSIVE r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS k, unnest(regexp_extract_all(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+g AS (SELECT k, w, count(*) AS c FROM r WHERE length(w) >= 6 GROUP BY ALL),
+b AS (SELECT w, c, flatten(list_transform(string_split(k || ':' || w, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)]
+        ELSE [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)] END)) AS bytes FROM g),
+-- the checksum bit by bit, as polynomial division by 0xEDB88320
+h AS (SELECT w, c, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST(bytes AS BIGINT[])), lambda s, y:
+        list_reduce(list_prepend(xor(s, y), CAST(range(8) AS BIGINT[])), lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) AS h FROM b),
+m AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM m WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+k AS (SELECT word, substr(word, 1, i) || chr(1) || substr(word, i + 2) AS skip, substr(word, 1, i) || substr(word, i + 2) AS short
+      FROM (SELECT word, unnest(range(0, length(word))) AS i FROM v)),
+pair AS (SELECT x.word, y.word AS other FROM k x JOIN k y ON x.skip = y.skip AND x.word <> y.word
+         UNION SELECT k.word, v.word FROM k JOIN v ON k.short = v.word
+         UNION SELECT v.word, k.word FROM k JOIN v ON k.short = v.word),
+best AS (SELECT pair.word, other, o.n AS other_n, row_number() OVER (PARTITION BY pair.word ORDER BY o.n DESC, other) AS place,
+                count(*) OVER (PARTITION BY pair.word) AS n_near FROM pair JOIN v o ON o.word = other),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+             CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n FROM v LEFT JOIN best ON v.word = best.word AND place = 1),
+up AS (SELECT word, word AS root, form AS onward FROM f
+       UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON f.word = up.onward)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up ON up.word = f.word AND up.onward IS NULL
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.spelling import spelling_variants
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def _secret_sql() -> str:
+    from ledgerline.llm.secret_scan import oracle_sql
+    return oracle_sql()
+
+
+@query("op12_secret_scan", _secret_sql())
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.secret_scan import listed, of_kind, scan_secrets
+    out = scan_secrets(read(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), *[of_kind(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(("assign", "access", "hex"))],
+                      F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), "n_live", "n_copied")
+
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS_SQL} AS w FROM documents),
+s AS (SELECT count(*) AS n_all, CAST(sum(len(w)) AS BIGINT) AS l_all FROM d WHERE len(w) > 0),
+t AS (SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(w) AS w FROM d) GROUP BY ALL),
+f AS (SELECT w, CAST(floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+      FROM t, s GROUP BY w, n_all),
+q AS (SELECT iid, item_id, w, count(*) AS times FROM (SELECT row_number() OVER () AS iid, item_id, unnest({_WORDS_SQL}) AS w FROM benchmark) GROUP BY ALL),
+x AS (SELECT iid, item_id, rid, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(d.w) * n_all) // l_all)))) AS BIGINT) AS score
+      FROM q JOIN t USING (w) JOIN f USING (w) JOIN d USING (rid), s GROUP BY iid, item_id, rid),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+      FROM x JOIN d USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", SEARCH_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.lexical import search
+    out = search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select(F.col("item").alias("item_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("doc_id"), "score")

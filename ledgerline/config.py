@@ -30,5 +30,7 @@ class PipelineConfig:
     # exact quantile plans: "simple" (percentile aggregate) or "bracketed" (skew-split)
     median_method: str = "bracketed"
     cap_method: str = "bracketed"
+    # how the exponential smoothing is started: "first_seasons", or "estimated" jointly with its weights
+    smoothing_start: str = "first_seasons"
     # confidence band multiplier (about an 80 % interval)
     band_z: float = 1.28

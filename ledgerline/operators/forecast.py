@@ -183,13 +183,13 @@ def holdout_targets(split: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def holdout_predictions(split: DataFrame, ma_window: int = CFG.ma_window, season: int = CFG.season_length,
-                        with_smoothing: bool = False) -> DataFrame:
+                        with_smoothing: bool = False, start: str = CFG.smoothing_start) -> DataFrame:
     """FC2-FC5 on the hold-out: (series, origin, step, period_start, y_true, model, y_pred)."""
     train, test = holdout_targets(split)
     preds = _baselines(train, test, ma_window, season)
     if with_smoothing:
         from ledgerline.operators.smoothing import holt_winters_forecasts
-        preds = preds.unionByName(holt_winters_forecasts(train, test, season))
+        preds = preds.unionByName(holt_winters_forecasts(train, test, season, start))
     return preds
 
 
@@ -243,7 +243,7 @@ def band_width(prepared: DataFrame, z: float = CFG.band_z) -> DataFrame:
 def generate_forecast(prepared: DataFrame, best: DataFrame, horizon: int = CFG.horizon,
                       ma_window: int = CFG.ma_window, season: int = CFG.season_length,
                       z: float = CFG.band_z, grain: str = "month", with_smoothing: bool = True,
-                      with_generated_at: bool = True, validate: bool = False) -> DataFrame:
+                      with_generated_at: bool = True, validate: bool = False, start: str = CFG.smoothing_start) -> DataFrame:
     """FC14 + FC15: refit the selected model per series on all history, forecast
     ``horizon`` periods, band +/- z*std(diff)*sqrt(step), all rounded to 2.
 
@@ -261,7 +261,7 @@ def generate_forecast(prepared: DataFrame, best: DataFrame, horizon: int = CFG.h
         from ledgerline.operators.smoothing import MODEL_NAME, holt_winters_forecasts
         won = best.where(F.col("best_model") == MODEL_NAME).select("series")
         preds = preds.unionByName(holt_winters_forecasts(
-            history.join(won, "series", "left_semi"), targets.join(won, "series", "left_semi"), season))
+            history.join(won, "series", "left_semi"), targets.join(won, "series", "left_semi"), season, start))
     chosen = preds.join(best.select("series", F.col("best_model").alias("model")), ["series", "model"])
     width = F.col("_zsd") * F.sqrt(F.col("step").cast("double"))
     out = chosen.join(band_width(prepared, z), "series", "left").select(
@@ -296,11 +296,11 @@ def run_forecasting(prepared: DataFrame, cfg: PipelineConfig = CFG, with_smoothi
     ok = eligible(prepared, cfg.min_history)
     split = chronological_split(ok, cfg.test_fraction)
     assert_no_leakage(split)
-    preds = holdout_predictions(split, cfg.ma_window, cfg.season_length, with_smoothing)
+    preds = holdout_predictions(split, cfg.ma_window, cfg.season_length, with_smoothing, cfg.smoothing_start)
     metrics = materialize(evaluate(preds), "metrics")  # the parameter search runs once
     best = select_best(metrics)
     fc = generate_forecast(ok, best, cfg.horizon, cfg.ma_window, cfg.season_length, cfg.band_z, grain,
-                           with_smoothing=with_smoothing)
+                           with_smoothing=with_smoothing, start=cfg.smoothing_start)
     return {"split": split, "predictions": preds, "metrics": metrics, "best": best,
             "comparison": comparison_table(metrics, best), "forecast": fc,
             "skipped": skipped_series(prepared, cfg.min_history), "scorecard": scorecard(best, cfg.horizon)}

@@ -112,7 +112,7 @@ def run(spark: SparkSession, raw: str | DataFrame, out_dir: str, cfg: PipelineCo
     K.write_table(best, best_path)
     best = spark.read.parquet(best_path)
     fc = FC.generate_forecast(FC.eligible(prepared, cfg.min_history), best, cfg.horizon, cfg.ma_window,
-                              cfg.season_length, cfg.band_z, validate=True)
+                              cfg.season_length, cfg.band_z, validate=True, start=cfg.smoothing_start)
     result.paths.update(stage("forecast_save", lambda: K.save_forecast(fc, fc_dir)))
     # the warehouse table of six columns, mirrored to the configured target when there is one
     contract = K.forecast_contract(spark.read.parquet(result.paths["parquet"]))

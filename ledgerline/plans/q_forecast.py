@@ -299,6 +299,83 @@ def fc_scorecard(spark, d):
     return _full(spark, d)["scorecard"]
 
 
+def _estimated_ctes(p: str, hist: str) -> list[tuple[str, str]]:
+    """CTEs ending in {p}_fit(series, n, scale, a, b, g, seasonal, sse, l, tr, s): start values by the normal
+    equations of the recursion's errors, which are solved by elimination, for each grid point."""
+    def run(name: str, over: str) -> tuple[str, str]:
+        return name, f"""SELECT *, 0 AS t, CAST([] AS DOUBLE[]) AS e FROM (SELECT id, a, b, g, seasonal, v, l, tr, s FROM {over})
+          UNION ALL
+          SELECT id, a, b, g, seasonal, v, ln, b * (ln - l) + (1 - b) * tr,
+            CASE WHEN seasonal THEN list_transform(s, lambda x, i: CASE WHEN i = t % {S} + 1 THEN g * (y - l - tr) + (1 - g) * sc ELSE x END)
+                 ELSE s END, t + 1, list_append(e, y - (l + tr + sc))
+          FROM (SELECT *, a * (y - sc) + (1 - a) * (l + tr) AS ln
+                FROM (SELECT *, v[t + 1] AS y, CASE WHEN seasonal THEN s[t % {S} + 1] ELSE 0.0 END AS sc FROM {name} WHERE t < len(v)))"""
+
+    def fit(k: int, rows: str) -> list[tuple[str, str]]:
+        """The grid points ``rows`` (series, a, b, g) with least squared errors and starts."""
+        q = f"{p}{k}"
+        nought = f"list_transform(range(0, {S}), lambda i: CAST(0 AS DOUBLE))"
+        return [
+            (f"{q}_grid", rows),
+            # a zero series from each start: level, trend, and each season against the last
+            (f"{q}_unit", f"""SELECT CAST(k AS VARCHAR) AS id, a, b, g, seasonal, list_transform(range(0, longest), lambda i: CAST(0 AS DOUBLE)) AS v,
+                CAST(k = 0 AS DOUBLE) AS l, CAST(k = 1 AS DOUBLE) AS tr,
+                list_transform(range(0, {S}), lambda i: CAST(CASE WHEN k < 2 THEN 0 WHEN i = k - 2 THEN 1 WHEN i = {S - 1} THEN -1 ELSE 0 END AS DOUBLE)) AS s
+                FROM (SELECT DISTINCT a, b, g, seasonal FROM {q}_grid JOIN {p}_list USING (series)),
+                     (SELECT max(n) AS longest FROM {p}_list), range(0, {S + 1}) r(k) WHERE seasonal OR k < 2"""),
+            run(f"{q}_urun", f"{q}_unit"),
+            (f"{q}_cols", f"SELECT a, b, g, seasonal, list(e ORDER BY CAST(id AS INT)) AS cols FROM {q}_urun WHERE t = len(v) GROUP BY ALL"),
+            (f"{q}_own", f"SELECT series AS id, a, b, g, seasonal, z AS v, CAST(0 AS DOUBLE) AS l, CAST(0 AS DOUBLE) AS tr, {nought} AS s "
+                         f"FROM {q}_grid JOIN {p}_list USING (series)"),
+            run(f"{q}_orun", f"{q}_own"),
+            (f"{q}_mat", f"""SELECT id, o.a, o.b, o.g, o.seasonal, len(cols) AS p, list_inner_product(o.e, o.e) AS whole,
+                list_transform(cols, lambda x: list_inner_product(x[1:len(o.e)], o.e)) AS h,
+                list_transform(cols, lambda x: list_append(list_transform(cols, lambda y: list_inner_product(x[1:len(o.e)], y[1:len(o.e)])),
+                                                           list_inner_product(x[1:len(o.e)], o.e))) AS m
+                FROM {q}_orun o JOIN {q}_cols c ON o.a = c.a AND o.b = c.b AND o.g = c.g AND o.seasonal = c.seasonal WHERE o.t = len(o.v)"""),
+            (f"{q}_solve", f"""SELECT *, 1 AS k FROM {q}_mat
+              UNION ALL
+              SELECT id, a, b, g, seasonal, p, whole, h, list_transform(m, lambda x, i: CASE WHEN i = k THEN x ELSE
+                list_transform(x, lambda v, j: v - x[k] / m[k][k] * m[k][j]) END), k + 1 FROM {q}_solve WHERE k <= p"""),
+            (f"{q}_theta", f"""SELECT *, whole + list_inner_product(theta, h) AS sse FROM (
+                SELECT *, list_transform(m, lambda x, i: -x[p + 1] / x[i]) AS theta FROM {q}_solve WHERE k = p + 1)"""),
+            (f"{q}_best", f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(greatest(sse, 0), 12), a, b, g) AS place
+                FROM {q}_theta) WHERE place = 1"""),
+        ]
+
+    fifths = "(SELECT (2 * i + 1) / 10.0 AS v FROM range(0, 5) r(i))"
+    around = lambda c: f"(SELECT DISTINCT id, least(greatest(round({c} + away * 0.05, 2), 0.05), 0.95) AS v FROM {p}1_best, range(-2, 3) q(away))"
+    return [
+        (f"{p}_list", f"""SELECT series, n, seasonal, scale, list_transform(y, lambda x: x / scale) AS z FROM (
+            SELECT series, list(y ORDER BY idx) AS y, count(*) AS n, count(*) >= {2 * S} AS seasonal, avg(abs(y)) AS scale FROM {hist} GROUP BY series)"""),
+        *fit(1, f"""SELECT series, CAST(x.v AS DOUBLE) AS a, CAST(y.v AS DOUBLE) AS b, CAST(CASE WHEN seasonal THEN w.v ELSE 0 END AS DOUBLE) AS g
+            FROM {p}_list, {fifths} x, {fifths} y, {fifths} w WHERE seasonal OR w.v < 0.15"""),
+        *fit(2, f"""SELECT DISTINCT o.id AS series, CAST(x.v AS DOUBLE) AS a, CAST(y.v AS DOUBLE) AS b, CAST(CASE WHEN o.seasonal THEN w.v ELSE 0 END AS DOUBLE) AS g
+            FROM {p}1_best o JOIN {around('a')} x ON x.id = o.id JOIN {around('b')} y ON y.id = o.id JOIN {around('g')} w ON w.id = o.id"""),
+        (f"{p}_again", f"""SELECT id, a, b, g, o.seasonal, z AS v, theta[1] AS l, theta[2] AS tr,
+            CASE WHEN o.seasonal THEN list_append(theta[3:], -list_sum(theta[3:])) ELSE list_transform(range(0, {S}), lambda i: CAST(0 AS DOUBLE)) END AS s
+            FROM {p}2_best o JOIN {p}_list i ON i.series = o.id"""),
+        run(f"{p}_last", f"{p}_again"),
+        (f"{p}_fit", f"""SELECT i.series, i.n, i.scale, a, b, CASE WHEN o.seasonal THEN g END AS g, list_inner_product(e, e) AS sse, l, tr, s
+            FROM {p}_last o JOIN {p}_list i ON i.series = o.id WHERE t = len(v)"""),
+    ]
+
+
+@query("fc_exp_smoothing_estimated", with_chain(f"""SELECT series, a AS alpha, b AS beta, g AS gamma, CAST(n AS INTEGER) AS n,
+    sqrt(sse / n) AS rmse_ratio, CAST(step AS INTEGER) AS step, l + step * tr + s[(n + step - 1) % {S} + 1] AS y_ratio
+    FROM fc_e_fit, range(1, {H + 1}) r(step)""", FC_CTES + _estimated_ctes("fc_e", "fc_hist")), ("rmse_ratio", "y_ratio"))
+def fc_exp_smoothing_estimated(spark, d):
+    """FC5: start values estimated jointly with the weights; one-step error and
+    forecasts relative to the mean absolute value of the series."""
+    history = FC.eligible(_prepared(spark, d)).select("series", "idx", "y")
+    fit = HW.fit_holt_winters(history, S, "estimated")
+    scale = history.groupBy(F.col("series").alias("of")).agg(F.avg(F.abs("y")).alias("scale"))
+    season = F.element_at("season", F.pmod(F.col("step") - 1, F.lit(S)) + 1)
+    fit = fit.join(scale, F.col("series") == F.col("of")).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(H))))
+    return fit.select("series", "alpha", "beta", "gamma", "n", (F.sqrt(F.col("sse") / F.col("n")) / F.col("scale")).alias("rmse_ratio"), "step",
+                      ((F.col("level") + F.col("step") * F.col("trend") + season) / F.col("scale")).alias("y_ratio"))
+
+
 def _part(x: str) -> str:
     return f"coalesce(replace(replace({x}, '\\', '\\\\'), '|', '\\|'), '\\N')"
 

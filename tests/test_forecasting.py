@@ -1,4 +1,5 @@
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,7 +147,7 @@ def test_vectorised_grid_matches_brute_force(spark):
     got = {r["series"]: r for r in HW.fitted_parameters(prep.select("series", "idx", "y")).collect()}
     for series in list(got)[:3]:
         y = np.array([r["y"] for r in prep.where(F.col("series") == series).orderBy("idx").collect()])
-        seasonal, l0, b0, s0, tail = HW._start(y, 12)
+        seasonal, l0, b0, s0, tail = (x if isinstance(x, bool) else x[0] for x in HW._start(y[None, :], 12))
 
         def sse(a, b, g):
             lv, tr, s, tot = l0, b0, list(s0), 0.0
@@ -171,3 +172,66 @@ def test_vectorised_grid_matches_brute_force(spark):
         r = got[series]
         assert (r["alpha"], r["beta"]) == (a2, b2) and (not seasonal or r["gamma"] == g2)
         assert abs(r["sse"] - best_sse) <= 1e-6 * max(1.0, best_sse)
+
+
+def _errors(y, l, b, s, a, be, g, seasonal):
+    """One-step errors, by the plain recursion."""
+    s, out = list(s), []
+    for t, v in enumerate(y):
+        sc = s[t % 12] if seasonal else 0.0
+        out.append(v - (l + b + sc))
+        new = a * (v - sc) + (1 - a) * (l + b)
+        if seasonal:
+            s[t % 12] = g * (v - l - b) + (1 - g) * sc
+        l, b = new, be * (new - l) + (1 - be) * b
+    return out
+
+
+def test_estimated_start_values():
+    """The least squares start beats other starts and weights; a batch of series of one length fits as each alone."""
+    import itertools
+    import random
+
+    import numpy as np
+    rng = random.Random(2)
+    for n in (6, 20, 24, 31, 60):
+        ys = np.array([[500 + 9 * i * (k + 1) + 40 * math.sin(i * 6.28 / 12 + k) + rng.gauss(0, 15) for i in range(n)] for k in range(3)])
+        seasonal, a, b, g, lv, tr, season, sse = HW.fit_estimated(ys, 12)
+        alone = [HW.fit_estimated(ys[k:k + 1], 12) for k in range(3)]
+        assert [x[1][0] for x in alone] == list(a) and np.allclose([x[7][0] for x in alone], sse)
+        old = HW.fit_first_seasons(ys, 12)
+        for k in range(3):
+            s0, l0, b0, terms, _ = (x if isinstance(x, bool) else x[k] for x in HW._start(ys, 12))
+            first = sum(e * e for e in _errors(ys[k], l0, b0, terms, old[1][k], old[2][k], old[3][k], s0))
+            assert sse[k] <= first + 1e-6  # the present way, over the same periods
+            grid = list(itertools.product(HW.WIDE, HW.WIDE, HW.WIDE if s0 else [0.0]))
+            basis = HW._basis(12, s0)
+            for w in grid[:: max(1, len(grid) // 9)]:  # least squares by brute force
+                cols = np.array([[-x for x in _errors(np.zeros(n), v[0], v[1], v[2:], *w, s0)] for v in basis]).T
+                err = np.array(_errors(ys[k], 0.0, 0.0, np.zeros(12), *w, s0))
+                theta, *_ = np.linalg.lstsq(cols, err, rcond=None)
+                assert sse[k] <= ((err - cols @ theta) ** 2).sum() + 1e-6
+
+
+def test_estimated_through_spark(spark):
+    rows = [(f"s{k}", i + 1, 100.0 + 2 * i * k + 10 * math.sin(2 * math.pi * i / 12)) for k in range(40) for i in range(6 + k)]
+    hist = spark.createDataFrame(rows, "series string, idx int, y double")
+    targets = spark.createDataFrame([(f"s{k}", 6 + k, 1) for k in range(40)], "series string, origin int, step int")
+    out = HW.holt_winters_forecasts(hist, targets, start="estimated").collect()
+    assert len(out) == 40 and all(abs(r["y_pred"] - (100 + 2 * r["origin"] * int(r["series"][1:]) + 10 * math.sin(
+        2 * math.pi * r["origin"] / 12))) < 1e-4 for r in out if r["origin"] >= 36)
+    with pytest.raises(ValueError):
+        HW.fit_holt_winters(hist, start="other")
+
+
+def test_many_short_series_in_one_batch():
+    """100,000 series of 8 periods through the batched recursion of one worker."""
+    import numpy as np
+    import pyarrow as pa
+    n = 100_000
+    y = np.arange(8 * n, dtype=float) % 97
+    batch = pa.record_batch([pa.array([str(i) for i in range(n)]), pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * n + 1, 8, dtype=np.int32)), pa.array(y))],
+                            ["series", "y"])
+    t = time.time()
+    out = pa.Table.from_batches(list(HW._fitter(12, "first_seasons")(iter([batch]))))
+    assert out.num_rows == n and time.time() - t < 120

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.config import PipelineConfig
+from ledgerline.functions.keys import surrogate_key
 from ledgerline.functions.materialize import table_path
 from ledgerline.operators import forecast as FC
 from ledgerline.operators import marts as M
@@ -15,6 +16,7 @@ from ledgerline.plans.q_forecast import FC_CTES, SMOOTH_CTES, _best_baselines, _
 from ledgerline.plans.registry import query
 from ledgerline.sources import raw as R
 from ledgerline.sources import sinks as K
+from ledgerline.sources.records import tree_digest
 
 CFG = PipelineConfig()
 
@@ -86,14 +88,32 @@ def snk_model_comparison(spark, d):
     return spark.read.json(path)
 
 
-@query("snk_metadata", with_chain("SELECT 'driver tables' AS source, count(*) AS row_count, CAST(14 AS BIGINT) AS column_count FROM raw"))
+@query("snk_metadata", with_chain("""SELECT 'driver tables' AS source, CASE WHEN customer_id IS NULL THEN 'unknown' ELSE 'known' END AS folder,
+    'sha256' AS digest_kind, count(*) AS row_count, CAST(14 AS BIGINT) AS column_count, true AS own_digests FROM raw GROUP BY ALL"""))
 def snk_metadata(spark, d):
-    """SRC4: ingest metadata of the exported raw files (one row per file),
-    summed over the files: their number and names depend on the cluster."""
+    """SRC4: ingest metadata of the exported raw files (one row per file, told by
+    its path), summed over the files of two folders: the files' number and names
+    depend on the cluster."""
     raw = raw_of(spark, d)
-    path = K.export_csv(raw, table_path(raw, "raw_meta_csv"))
-    meta = R.ingest_metadata(spark, path, source="driver tables", multi_line=True)
-    return meta.groupBy("source").agg(F.sum("row_count").alias("row_count"), F.max("column_count").alias("column_count"))
+    path = table_path(raw, "raw_meta_csv")
+    K.export_csv(raw.where("customer_id IS NULL"), f"{path}/unknown")
+    K.export_csv(raw.where("customer_id IS NOT NULL"), f"{path}/known")
+    meta = R.ingest_metadata(spark, f"{path}/*known", source="driver tables", multi_line=True).where("row_count > 0")
+    return meta.groupBy("source", F.element_at(F.split("path", "/"), -2).alias("folder"), "digest_kind").agg(
+        F.sum("row_count").alias("row_count"), F.max("column_count").alias("column_count"),
+        (F.count_distinct("sha256") == F.count(F.lit(1))).alias("own_digests"))
+
+
+@query("src_tree_digest", f"""WITH l AS (SELECT lang, sha256(text) AS digest, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS line FROM documents),
+  n AS (SELECT lang, line // 65536 AS node, sha256(string_agg(digest, '' ORDER BY line)) AS digest FROM l GROUP BY ALL)
+  SELECT lang, sha256(string_agg(digest, '' ORDER BY node)) AS digest FROM n GROUP BY lang""")
+def src_tree_digest(spark, d):
+    """SC20: the digest that merges, of each language's texts in the order of their ids."""
+    docs = surrogate_key(spark.read.parquet(f"{d}/documents.parquet").select("lang", "doc_id", "text"), ["lang", "doc_id"], "place")
+    first = docs.groupBy(F.col("lang").alias("of")).agg(F.min("place").alias("first"))
+    docs = docs.join(F.broadcast(first), F.col("lang").eqNullSafe(F.col("of")))
+    lines = docs.select("lang", (F.col("place") - F.col("first")).alias("line"), F.col("text").cast("binary").alias("value"))
+    return tree_digest(lines, ["lang"])
 
 
 _TEXTS = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 3 = 0 THEN '"' || text || '", said' ELSE text END AS text, lang

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.schema import RAW_COLUMNS, RAW_SCHEMA
+from ledgerline.sources.records import csv_records, numbered_lines, tree_digest
 
 # The tokens pandas.read_csv reads as missing.
 NA_TOKENS = (
@@ -21,7 +22,7 @@ class SchemaValidationError(Exception):
 BROKEN = "_broken_line"
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | str = False) -> DataFrame:
     """Headered CSV, every column a nullable string (no inference), NA tokens -> null.
 
     Columns are matched by header name; extra columns pass through untouched.
@@ -29,15 +30,29 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
 
     A row with more fields than the header raises when it is read, as does a
     quoted value that goes over a line end (short rows are filled with nulls).
-    ``multi_line=True`` reads such values; a file is then one task's work and is
-    not split, so large inputs should come as many files.
+    ``multi_line=True`` reads such values from splits of the files (see
+    ``sources.records``); it asks for quotes in quoted values only, doubled.
+    ``multi_line="whole"`` takes any quotes, but makes a file one task's work.
     """
-    options = {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
+    return _raw_rows(spark, path, multi_line).drop(FILE)
+
+
+FILE = "_of_file"
+
+
+def _raw_rows(spark: SparkSession, path: str, multi_line: bool | str) -> DataFrame:
+    """The rows with the path of their file in ``FILE``."""
+    if multi_line not in (False, True, "whole"):
+        raise ValueError(f'multi_line must be False, True or "whole", not {multi_line!r}')
+    options = {"header": "true", "escape": '"', "multiLine": str(bool(multi_line)).lower()}
     header = spark.read.options(**options).option("inferSchema", False).csv(path).columns
-    df = (spark.read.options(**options).option("enforceSchema", False)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", False)
-          .schema(", ".join(f"`{c}` string" for c in [*header, BROKEN]))
-          .csv(path))
+    schema = ", ".join(f"`{c}` string" for c in [*header, BROKEN])
+    if multi_line is True:
+        df = csv_records(spark, path, header, schema, BROKEN, FILE)
+    else:
+        df = (spark.read.options(**options).option("enforceSchema", False)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", False)
+              .schema(schema).csv(path).select("*", F.col("_metadata.file_path").alias(FILE)))
     # a marked line is short (accepted), long, or ends inside quotes
     # (a mark after its last field shows how many fields it has)
     wide = [f"c{i}" for i in range(len(header) + 2)]
@@ -49,7 +64,7 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
              .when(~fits, F.lit(f"More than {len(header)} fields: ")))
     df = df.where(F.when(fault.isNotNull(), F.raise_error(F.concat_ws("", fault, F.lit("["), f"`{header[0]}`", F.lit("] "), BROKEN)).cast("boolean")).otherwise(True))
     return df.select(*[F.when(F.col(f"`{c}`").isin(*NA_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c)
-                       for c in header])
+                       for c in header], FILE)
 
 
 def validate_schema(df: DataFrame) -> None:
@@ -70,31 +85,33 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
 
 
-WHOLE_FILE = 1 << 30
-
-
-def ingest_metadata(spark: SparkSession, path: str, source: str = "file", multi_line: bool = False) -> DataFrame:
-    """One row per file: source, ingest time, file name, row/column count, sha256.
-
-    Files up to ``WHOLE_FILE`` bytes are hashed as they are, one task per file.
-    A larger file does not fit the binary reader: its digest is the SHA-256 of
-    ``lines:count:sum`` over its lines, where sum adds the lines' 64-bit hashes;
-    it is computed from splits of the file and does not depend on them.
-    Row counts come from the CSV scan, grouped by file."""
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
-    listed = spark.read.format("binaryFile").load(path).select("path", "length")
-    whole = (spark.read.format("binaryFile").load(path).where(F.col("length") <= WHOLE_FILE)
-             .select(name.alias("filename"), F.sha2(F.col("content"), 256).alias("sha256")))
-    if listed.where(F.col("length") > WHOLE_FILE).limit(1).count():
-        large = listed.where(F.col("length") > WHOLE_FILE).select(name.alias("f"))
-        lines = spark.read.text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("filename"), "value")
-        lines = lines.join(large, F.col("filename") == F.col("f"), "left_semi").groupBy("filename").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("s"))
-        whole = whole.unionByName(lines.select("filename", F.sha2(F.concat_ws(":", F.lit("lines"), "n", F.col("s").cast(
-            "string")), 256).alias("sha256")))
-    df = read_raw_csv(spark, path, multi_line)
-    rows = df.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f")).agg(F.count(F.lit(1)).alias("row_count"))
-    return (whole.join(rows, F.col("filename") == F.col("f"), "left")
+#: The largest file that the binary reader takes; beyond, the digest is a tree over the lines.
+WHOLE_FILE = (1 << 31) - 1 - (1 << 20)
+
+
+def ingest_metadata(spark: SparkSession, path: str, source: str = "file", multi_line: bool | str = False) -> DataFrame:
+    """One row per file (told by its path): source, ingest time, file name,
+    row/column count, sha256, the kind of that digest, and the path.
+
+    ``digest_kind`` is ``sha256`` where the digest is of the file's bytes (one
+    task per file), and ``sha256-lines`` for files beyond ``WHOLE_FILE``: there
+    it is ``records.tree_digest`` of the lines in order, with the length of the
+    file; it is computed from splits and does not depend on them."""
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("path"), F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"), "length", "content")
+    digests = files.where(F.col("length") <= WHOLE_FILE).select(
+        "path", "filename", F.sha2("content", 256).alias("sha256"), F.lit("sha256").alias("digest_kind"))
+    large = files.where(F.col("length") > WHOLE_FILE).select("path", "filename", "length")
+    if large.limit(1).count():
+        lines = numbered_lines(spark, path)
+        lines = lines.join(F.broadcast(large.select(F.col("path").alias("of"))), F.col("file") == F.col("of"), "left_semi")
+        tree = tree_digest(lines.select("file", "line", F.col("value").cast("binary").alias("value")), ["file"])
+        tree = large.join(tree, F.col("path") == F.col("file")).select("path", "filename", F.sha2(
+            F.concat_ws(":", "digest", F.col("length").cast("string")), 256).alias("sha256"), F.lit("sha256-lines").alias("digest_kind"))
+        digests = digests.unionByName(tree)
+    df = _raw_rows(spark, path, multi_line)
+    rows = df.groupBy(FILE).agg(F.count(F.lit(1)).alias("row_count"))
+    return (digests.join(rows, F.col("path") == F.col(FILE), "left")
             .select(F.lit(source).alias("source"), F.current_timestamp().alias("ingested_at"), "filename",
                     F.coalesce("row_count", F.lit(0)).alias("row_count"),
-                    F.lit(len(df.columns)).cast("bigint").alias("column_count"), "sha256"))
+                    F.lit(len(df.columns) - 1).cast("bigint").alias("column_count"), "sha256", "digest_kind", "path"))

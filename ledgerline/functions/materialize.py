@@ -38,11 +38,12 @@ def cleanup(spark: SparkSession) -> None:
     fs.delete(p, True)
 
 
-def stage(spark: SparkSession, source: str, names: tuple[str, ...], name: str, build) -> DataFrame:
+def stage(spark: SparkSession, source: str, names: tuple[str, ...], name: str, build, write=None) -> DataFrame:
     """A table derived from the Parquet inputs ``source/<names>.parquet``, written
     once. Its folder is keyed by the inputs' files, lengths and modification
     times, so changed data are a new stage, and a finished stage (``_SUCCESS``)
-    is read by any session that shares the checkpoint folder."""
+    is read by all later queries of the application, whose checkpoint folder is
+    its own. ``write(df, path)`` lays the table out in another way than plain."""
     import hashlib
     state = []
     for t in names:
@@ -52,5 +53,8 @@ def stage(spark: SparkSession, source: str, names: tuple[str, ...], name: str, b
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-stages/{key}/{name}"
     done, fs = _fs(spark, f"{path}/_SUCCESS")
     if not fs.exists(done):
-        build().write.mode("overwrite").parquet(path)
+        if write:
+            write(build(), path)
+        else:
+            build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

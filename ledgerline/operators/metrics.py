@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import money_sum
 
+#: The month of a row, by which a partitioned fact has its folders.
+MONTH = "order_month"
+
 
 def kpi_scorecard(fact: DataFrame, monthly: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """AG21: total revenue, orders, average order value, customers, latest MoM growth.
@@ -90,14 +93,26 @@ def top_k(df: DataFrame, measure: str, key: str, k: int = 10) -> DataFrame:
 
 def filtered_sales(fact: DataFrame, dim_prod: DataFrame, date_from: str | None = None, date_to: str | None = None,
                    regions: list[str] | None = None, categories: list[str] | None = None,
-                   product_search: str | None = None) -> DataFrame:
+                   product_search: str | None = None, dates: DataFrame | None = None) -> DataFrame:
     """FL1-FL4: the dashboard filters (date range, region set, category set,
-    case-insensitive product text search) applied to the fact with its product."""
+    case-insensitive product text search) applied to the fact with its product.
+
+    With ``dates`` (dim_date) and a fact that is partitioned by its month
+    (``MONTH``), the date dimension is filtered first and its months prune the
+    fact's folders at run time, whatever the filter of the dates is."""
     f = fact
-    if date_from:
-        f = f.where(F.col("date_key") >= F.lit(date_from).cast("date"))
-    if date_to:
-        f = f.where(F.col("date_key") <= F.lit(date_to).cast("date"))
+    day = lambda c: ([F.col(c) >= F.lit(date_from).cast("date")] if date_from else []) + (
+        [F.col(c) <= F.lit(date_to).cast("date")] if date_to else [])
+    for cond in day("date_key"):
+        f = f.where(cond)
+    if dates is not None and MONTH in fact.columns and day("date_day"):
+        days = dates
+        for cond in day("date_day"):
+            days = days.where(cond)
+        # as many rows as the calendar has months
+        months = days.select(F.trunc("date_day", "month").alias("_month")).distinct()
+        f = f.join(F.broadcast(months), F.col(MONTH) == F.col("_month"), "left_semi")
+    f = f.drop(MONTH)
     if regions:
         f = f.where(F.col("region").isin(*regions))
     p = dim_prod.select("product_key", "product_name", "category")

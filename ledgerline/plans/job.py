@@ -65,7 +65,7 @@ def run(spark: SparkSession, raw: str | DataFrame, out_dir: str, cfg: PipelineCo
     cleaned = stage("clean_plan", lambda: C.clean(groups, cfg, deduplicated=True))
     mode = stage("load", lambda: K.write_with_fallback(cleaned, cloud_target, staging_path))
     used_path = cloud_target if mode == "target" else staging_path
-    staging = spark.read.parquet(used_path)
+    staging = K.read_table(spark, used_path)
     clean_rows = stage("load_count", staging.count)
     result = JobResult(report=report, mode=mode, clean_rows=clean_rows, paths={"sales_staging": used_path},
                        timings=t)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.functions.materialize import stage
 from ledgerline.operators import clean as C
 from ledgerline.operators import marts as M
 from ledgerline.operators import profile as P
 from ledgerline.operators import quality as Q
+from ledgerline.operators.metrics import MONTH
 from ledgerline.plans.oracle import RAW14, num_sql, with_chain
 from ledgerline.plans.registry import query
 from ledgerline.sources.fixture import TABLES, raw_from_tables
+from ledgerline.sources.sinks import write_partitioned_sales
 
 MONEY_ROW = ("quantity", "unit_price", "sales", "discount")
 
@@ -49,6 +53,13 @@ def mart_of(spark, d, name):
     return stg() if name == "stg_sales" else _stage(spark, d, name, build[name])
 
 
+def fact_by_month(spark, d):
+    """The fact in folders by month, clustered by region and product."""
+    write = lambda df, path: write_partitioned_sales(df, path, "date_key", ("region", "product_key"))
+    out = stage(spark, d, TABLES, "fact_by_month", lambda: mart_of(spark, d, "fact_sales"), write)
+    return out.withColumn(MONTH, F.col(MONTH).cast("date"))
+
+
 # ---------------------------------------------------------------- quality
 _DATE_OK = ("CASE WHEN regexp_full_match(trim(order_date), '[0-9]{4}-[0-9]{2}-[0-9]{2}') "
             "THEN CAST(try_strptime(trim(order_date), '%Y-%m-%d') AS DATE) END")

@@ -6,7 +6,7 @@ from ledgerline.operators import expectations as X
 from ledgerline.operators import marts as M
 from ledgerline.operators import metrics as R
 from ledgerline.plans.oracle import money, with_chain
-from ledgerline.plans.q_core import mart_of, stg_of
+from ledgerline.plans.q_core import fact_by_month, mart_of, stg_of
 from ledgerline.plans.registry import query
 
 CTE_OF = {"stg_sales": "stg", "int_customer_sales": "int_cust", "int_product_sales": "int_prod",
@@ -163,7 +163,8 @@ FILTER = dict(date_from="1996-01-01", date_to="1997-12-31", regions=["America",
     AND p.category IN ('Economy', 'Promo') AND contains(lower(p.product_name), 'bolt')"""),
        ("unit_price", "discount", "revenue"))
 def filtered_sales(spark, d):
-    return R.filtered_sales(mart_of(spark, d, "fact_sales"), mart_of(spark, d, "dim_product"), **FILTER)
+    """FL1-FL4 on the fact in folders by month: the filtered date dimension prunes them."""
+    return R.filtered_sales(fact_by_month(spark, d), mart_of(spark, d, "dim_product"), dates=mart_of(spark, d, "dim_date"), **FILTER)
 
 
 @query("yoy_calendar", with_chain("""SELECT m.month_start, m.total_revenue, p.total_revenue AS prev_year_revenue,

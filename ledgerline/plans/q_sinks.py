@@ -3,6 +3,7 @@ checkpoint folder and returns what it reads back."""
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerline.config import PipelineConfig
@@ -33,12 +34,18 @@ def src_csv_roundtrip(spark, d):
 
 @query("snk_replace", with_chain("SELECT * FROM stg"), ("unit_price", "discount", "sales"))
 def snk_replace(spark, d):
-    """SNK1: full replace (written twice, the second overwrite wins), then read back."""
+    """SNK1: full replace (an empty table, then all rows); a third replacement that
+    fails half-way leaves the rows, which are then read back."""
     stg = stg_of(spark, d)
     path = table_path(stg, "stg_replace")
-    K.write_table(stg.limit(0), path)
+    K.load_local(stg.where(F.lit(False)), path)
     K.load_local(stg, path)
-    return spark.read.parquet(path)
+    try:
+        K.load_local(stg.withColumn("quantity", F.when(F.col("category") == "Promo", F.raise_error(F.lit("broken")).cast("int")).otherwise(
+            F.col("quantity"))), path)
+    except PySparkException:
+        pass
+    return K.read_table(spark, path)
 
 
 @query("snk_partitioned", with_chain(
@@ -57,7 +64,7 @@ def snk_fallback(spark, d):
     daily = M.sales_daily(M.fact_measures(stg_of(spark, d)))
     fb = table_path(daily, "daily_fallback")
     used = K.write_with_fallback(daily, "unconfigured-scheme://warehouse/sales_daily", fb)
-    return spark.read.parquet(fb).withColumn("sink", F.lit(used))
+    return K.read_table(spark, fb).withColumn("sink", F.lit(used))
 
 
 @query("snk_csv_export", with_chain("SELECT * FROM daily"), ("total_revenue",))
@@ -137,7 +144,7 @@ def snk_target(spark, d):
     monthly = mart_of(spark, d, "sales_monthly")
     target = table_path(monthly, "monthly_target")
     used = K.write_with_fallback(monthly, target, table_path(monthly, "monthly_unused"))
-    return spark.read.parquet(target).withColumn("sink", F.lit(used))
+    return K.read_table(spark, target).withColumn("sink", F.lit(used))
 
 
 @query("hlt_counts", with_chain("""SELECT * FROM (VALUES ('sales_staging', (SELECT count(*) FROM clean), 'ok'),

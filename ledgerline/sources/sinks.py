@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.schema import FORECAST_SCHEMA
+from ledgerline.sources.versions import read_table, replace_table
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -30,15 +31,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def load_local(df: DataFrame, path: str, fmt: str = "parquet") -> tuple[str, int]:
-    """SNK1: replace the table at ``path`` with ``df``, then count the re-read table."""
-    write_table(df, path, fmt)
-    return path, df.sparkSession.read.format(fmt).load(path).count()
+    """SNK1: replace the table at ``path`` with ``df`` at once (a failure leaves the old
+    rows); the count is that of the re-read table. ``read_table`` reads it."""
+    return path, replace_table(df, path, fmt)[1]
 
 
 def write_with_fallback(df: DataFrame, target: str | None, fallback: str, fmt: str = "parquet",
                         target_format: str | None = None) -> str:
-    """SNK2/SNK3/SNK7: write to ``target`` (any Spark format/path, e.g. a cloud
-    bucket); when no target is configured or the write fails, write to the
+    """SNK2/SNK3/SNK7: replace the table at ``target`` (any Spark format/path, e.g. a
+    cloud bucket; formats of files at once, read with ``read_table``); when no target is configured or the write fails, write to the
     local ``fallback`` instead. Returns which one was used ("target"/"fallback").
 
     Only the target's own failures fall back (its file system or connector: no
@@ -46,16 +47,27 @@ def write_with_fallback(df: DataFrame, target: str | None, fallback: str, fmt: s
     cause. A failure of the query itself is not a sink problem and is raised."""
     if target:
         try:
-            write_table(df, target, target_format or fmt)
+            _replace(df, target, target_format or fmt)
             return "target"
         except (Py4JJavaError, PySparkException) as e:
             if not _is_sink_failure(e):
                 raise
             log.warning("writing %s failed, using %s instead: %s", target, fallback, str(e).splitlines()[0])
-    write_table(df, fallback, fmt)
+    _replace(df, fallback, fmt)
     return "fallback"
 
 
+#: Spark's formats that are folders of files; others (connectors) replace by their own means.
+FILE_FORMATS = ("parquet", "orc", "avro", "csv", "json", "text")
+
+
+def _replace(df: DataFrame, target: str, fmt: str) -> None:
+    if fmt in FILE_FORMATS:
+        replace_table(df, target, fmt)
+    else:
+        write_table(df, target, fmt)
+
+
 log = logging.getLogger(__name__)
 
 
@@ -145,7 +157,7 @@ def health_counts(spark: SparkSession, tables: dict[str, str], fmt: str = "parqu
     rows = []
     for name, path in tables.items():
         try:
-            n = spark.read.format(fmt).load(path).count()
+            n = read_table(spark, path, fmt).count()
             rows.append((name, n, "ok"))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":

@@ -11,6 +11,7 @@ from ledgerline.sources.sinks import export_csv
 
 # The categories present in the raw view derived from the driver tables.
 FIXTURE_CATEGORIES = ("Economy", "Large", "Medium", "Promo", "Small", "Standard", "Unknown")
+from ledgerline.sources import sinks as K
 
 
 def test_end_to_end_job(spark, tmp_path):
@@ -22,7 +23,7 @@ def test_end_to_end_job(spark, tmp_path):
     assert 0 < res.clean_rows <= res.report["rows_processed"]
     assert res.report["rows_flagged_invalid"] / res.report["rows_processed"] < 0.5
     assert all(r["passed"] for r in res.tests), [r for r in res.tests if not r["passed"]]
-    staging = spark.read.parquet(res.paths["sales_staging"])
+    staging = K.read_table(spark, res.paths["sales_staging"])
     for c in ["order_id", "order_date", "customer_id", "quantity", "unit_price", "sales"]:
         assert staging.where(F.col(c).isNull()).count() == 0
     assert staging.where("sales < 0").count() == 0

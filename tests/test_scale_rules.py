@@ -171,3 +171,19 @@ def test_only_winners_are_fitted_again(spark):
     p = FC.prepare_series(obs(spark, 30))
     best = spark.createDataFrame([("s", "Naive", 1.0)], "series string, best_model string, RMSE double")
     assert FC.generate_forecast(p, best).count() == 6
+
+
+def test_date_filter_prunes_the_months_of_the_fact(spark):
+    """The scan of the fact reads only the folders of the months that the filtered date dimension leaves."""
+    import re
+
+    from ledgerline.operators import metrics as R
+    from ledgerline.plans.q_core import fact_by_month, mart_of
+    d = "/root/testdata/sf0.001"
+    fact, dates = fact_by_month(spark, d), mart_of(spark, d, "dim_date")
+    df = R.filtered_sales(fact, mart_of(spark, d, "dim_product"), "1996-02-10", "1996-03-20", dates=dates)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan)
+    got = sorted(map(str, df.collect()))
+    assert got == sorted(map(str, R.filtered_sales(mart_of(spark, d, "fact_sales"), mart_of(spark, d, "dim_product"), "1996-02-10", "1996-03-20").collect())) and got
+    assert R.filtered_sales(fact, mart_of(spark, d, "dim_product"), dates=dates).count() == fact.count()

@@ -51,3 +51,34 @@ def test_save_forecast_files(spark, tmp_path):
     assert spark.read.parquet(paths["table"]).count() == 1
     assert K.forecast_contract(spark.read.parquet(paths["parquet"])).columns == \
         ["forecast_date", "predicted_sales", "lower_bound", "upper_bound", "model_name", "generated_at"]
+
+
+def test_a_failing_replacement_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    import os
+
+    import pytest
+    from ledgerline.sources import versions as V
+    df, path = _sales(spark), str(tmp_path / "t")
+    K.write_table(df.limit(1), path)  # a plain table is taken over
+    assert K.read_table(spark, path).count() == 1
+    assert K.load_local(df, path) == (path, 3)
+    broken = df.withColumn("sales", F.when(F.col("order_id") == "O3", F.raise_error(F.lit("boom")).cast("double")).otherwise(1.0))
+    begun = K.read_table(spark, path)
+    with pytest.raises(Exception, match="boom"):
+        K.load_local(broken, path)
+    assert K.read_table(spark, path).count() == 3
+    with pytest.raises(ValueError):
+        V.replace_table(df.limit(1), path, least=2)
+    assert K.read_table(spark, path).count() == 3 and len(os.listdir(f"{path}/{V.VERSIONS}")) == 1
+
+    def lost(*_):
+        raise OSError("the pointer cannot be written")
+    with monkeypatch.context() as m:
+        m.setattr(V, "_point", lost)
+        with pytest.raises(OSError):
+            K.load_local(df.limit(2), path)
+    assert K.read_table(spark, path).count() == 3
+    K.load_local(df.limit(2), path)
+    assert K.read_table(spark, path).count() == 2 and begun.count() == 3  # a reader that began before ends with its rows
+    K.load_local(df.limit(1), path)
+    assert len(os.listdir(f"{path}/{V.VERSIONS}")) == 2 and K.health_counts(spark, {"t": path}).first()["row_count"] == 1

@@ -25,6 +25,8 @@ from ledgerline.llm.common import Scratch, content_key, let, upto, word_count, w
 SPAN, K = 10, 5
 #: Up to so many distinct benchmark windows are broadcast (about 150 bytes each); beyond, all joins shuffle.
 BROADCAST_WINDOWS = 200_000
+#: Their bytes of text and item ids, at most; a window may hold very long words, and an id list may be long.
+BROADCAST_BYTES = 64 << 20
 
 
 def _grams(words: Column, k: int) -> Column:
@@ -104,13 +106,14 @@ def covered_spans(at: Column) -> Column:
 
 def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = K, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                  broadcast_windows: int = BROADCAST_WINDOWS, carry: tuple[str, ...] = ()) -> DataFrame:
+                  broadcast_windows: int = BROADCAST_WINDOWS, broadcast_bytes: int = BROADCAST_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document row: (id, n_words, n_hit, items, spans) and the
     columns named in ``carry``. ``items`` are the sorted ids as strings,
     ``spans`` the maximal hit ranges (a: first word, b: end word)."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
     bench = scratch.table(benchmark_windows(items, span, k, item_col, item_text), "bench")
-    few = bench.limit(broadcast_windows + 1).count() <= broadcast_windows
+    n, size = bench.agg(F.count(F.lit(1)), F.sum(F.octet_length("window") + F.octet_length(F.array_join("items", ",")))).first()
+    few = n <= broadcast_windows and (size or 0) <= broadcast_bytes
     text = F.col(text_col)
     keyed = docs.select(F.col(id_col).cast("string").alias("k1"), content_key(text).alias("k2"), words_column(text).alias("w"))
     found = hit_windows(keyed, bench, span, k, few).groupBy("k1", "k2").agg(

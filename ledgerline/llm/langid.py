@@ -191,7 +191,9 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     python_ready(rows.sparkSession)
     t = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key"))
     t = t.where("text IS NOT NULL AND lang IS NOT NULL")
-    per = t.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    per = t.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
+    if len(per) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: raise max_languages (none is left out)")
     if not per:
         return None
     df = t.select("text").mapInArrow(_frequencies(dims), "feature long, df long").groupBy("feature").agg(F.sum("df").alias("df"))

@@ -60,6 +60,19 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "BsdEndorse": ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
                    "products derived from this software without specific prior written permission",),
     "BsdShort": ("SPDX-License-Identifier: BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
+    "Bsd2Short": ("SPDX-License-Identifier: BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    "MplShort": ("Licensed under the Mozilla Public License, version 2.0", "SPDX-License-Identifier: MPL-2.0"),
+    "MplForm": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    "Gpl2Short": ("Licensed under the GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0-only"),
+    "LgplShort": ("Licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0-only"),
+    "AgplShort": ("Licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0-only"),
+    "IscShort": ("SPDX-License-Identifier: ISC", "Licensed under the ISC License"),
+    "IscGrant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                 "granted, provided that the above copyright notice and this permission notice appear in all copies",),
+    "CcBySaShort": ("CC BY-SA 4.0", "Licensed under CC BY-SA 4.0", "This work is licensed under CC BY-SA 4.0",
+                    "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "CcZeroShort": ("CC0 1.0", "Licensed under CC0 1.0", "SPDX-License-Identifier: CC0-1.0"),
+    "UnlicenseFree": ("This is free and unencumbered software released into the public domain", "SPDX-License-Identifier: Unlicense"),
 }
 # Ordered rules, a licence and the run of sentences that shows it.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
@@ -77,9 +90,20 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-NC-4.0", ("CcByNcShort",)),
     ("CC-BY-4.0", ("CcByShort",)),
     ("BSD-3-Clause", ("BsdShort",)),
+    ("BSD-2-Clause", ("Bsd2Short",)),
+    ("MPL-2.0", ("MplForm",)),
+    ("MPL-2.0", ("MplShort",)),
+    ("GPL-2.0-only", ("Gpl2Short",)),
+    ("LGPL-3.0-only", ("LgplShort",)),
+    ("AGPL-3.0-only", ("AgplShort",)),
+    ("ISC", ("IscGrant",)),
+    ("ISC", ("IscShort",)),
+    ("CC-BY-SA-4.0", ("CcBySaShort",)),
+    ("CC0-1.0", ("CcZeroShort",)),
+    ("Unlicense", ("UnlicenseFree",)),
 )
 # Every known sentence has one of these; a text without any needs no cutting.
-ANCHOR = "(?i)licen[cs]e|copyright|warrant|permission|redistribut|free software"
+ANCHOR = "(?i)licen[cs]e|copyright|warrant|permission|redistribut|free software|cc by|cc0|unencumbered"
 OPENERS = "\\n([^A-Za-z0-9\\n]*)(Licensed under|Released under|This work is|This program is|Permission is|Redistribution|SPDX|Copyright)"
 SPDX = "SPDX-License-Identifier:([^\\n]*)"  # a line of its own
 SENTENCE_END, BLANK_LINE = "[.!?:;]+([ \\t\\n\\r\\f\\x0B]+|$)", "\\n[^A-Za-z0-9\\n]*\\n"
@@ -91,34 +115,44 @@ def normal(sentence: str) -> str:
     return " ".join(re.findall(WORD, sentence.translate(str.maketrans(UPPER, LOWER))))
 
 
-def known() -> dict[str, str]:
+Sentences, Rules = dict[str, tuple[str, ...]], tuple[tuple[str, tuple[str, ...]], ...]
+
+
+def known(sentences: Sentences = SENTENCES) -> dict[str, str]:
     """normalised sentence -> identifier; a sentence the splitter would cut
     (at a colon) is known by its last part as well as whole."""
-    return {normal(s): name for name, forms in SENTENCES.items() for s in forms}
+    return {normal(s): name for name, forms in sentences.items() for s in forms}
 
 
-def sentence_ids(text: Column) -> Column:
+def sentence_ids(text: Column, sentences: Sentences = SENTENCES, anchor: str = ANCHOR) -> Column:
     """The known sentences of a text, in order, as '<A><B>..'."""
     t = F.regexp_replace(F.concat(F.lit("\n"), text), OPENERS, f"{MARK}$1$2")
     t = F.regexp_replace(F.regexp_replace(t, SPDX, f"SPDX-License-Identifier $1{MARK}"), BLANK_LINE, MARK)
     t = F.translate(F.regexp_replace(t, SENTENCE_END, MARK), UPPER, LOWER)
-    ids = F.create_map(*[F.lit(x) for kv in known().items() for x in kv])
+    ids = F.create_map(*[F.lit(x) for kv in known(sentences).items() for x in kv])
     names = F.transform(F.split(t, MARK), lambda s: F.try_element_at(
         ids, F.array_join(F.regexp_extract_all(s, F.lit(WORD), F.lit(0)), " ")))
     seq = F.array_join(F.transform(F.filter(names, lambda x: x.isNotNull()), lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")
-    return F.when(text.rlike(ANCHOR), seq).otherwise(F.lit(""))
+    return F.when(text.rlike(anchor), seq).otherwise(F.lit(""))
 
 
 def _count(s: Column, part: str) -> Column:
     return ((F.length(s) - F.length(F.replace(s, F.lit(part)))) / F.lit(len(part))).cast("long")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: Sentences = SENTENCES,
+         rules: Rules = RULES, anchor: str = ANCHOR) -> DataFrame:
     """Per row: id, sentence_ids, n_sentences (known ones), licenses (in rule
-    order, distinct), n_matches, n_unmatched."""
-    d = docs.select(F.col(id_col).alias("id"), F.coalesce(sentence_ids(F.col(text_col)), F.lit("")).alias("sentence_ids"))
+    order, distinct), n_matches, n_unmatched. ``sentences`` (identifier ->
+    forms) and ordered ``rules`` (licence, run of identifiers) may be given;
+    every sentence must match ``anchor``, which tells texts worth cutting."""
+    import re
+    for s in (s for forms in sentences.values() for s in forms):
+        if not re.search(anchor, s):
+            raise ValueError(f"the anchor does not match the sentence {s!r}")
+    d = docs.select(F.col(id_col).alias("id"), F.coalesce(sentence_ids(F.col(text_col), sentences, anchor), F.lit("")).alias("sentence_ids"))
     left, found = F.col("sentence_ids"), []
-    for name, run in RULES:
+    for name, run in rules:
         part = "".join(f"<{x}>" for x in run)
         found.append(F.when(F.contains(left, F.lit(part)), F.struct(F.lit(name).alias("name"), _count(left, part).alias("n"))))
         left = F.replace(left, F.lit(part), F.lit("|"))

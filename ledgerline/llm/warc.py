@@ -20,7 +20,10 @@ Defined results: a null payload is empty; a null page id is written as
 page id are all responses, as are rows of a payload that has no page id; empty
 inputs give an empty archive; a record with a missing or repeated segment, a
 wrong length or broken framing is returned with that ``status`` and no
-payload; extra columns are ignored.
+payload; a record that the file's end cuts off comes with ``wrong length``,
+whatever its type; segmented records of every type are reassembled, whole ones
+of other types than response and revisit are not returned; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Scratch, python_ready
 
 SEGMENT_BYTES, CHUNK_BYTES, FILE_RECORDS = 32 * 1024, 8 * 1024, 4096
+#: The record types whose block is no HTTP message.
+UNFRAMED = ("resource", "conversion", "metadata", "warcinfo")
 CRLF = b"\r\n"
 DIGEST = "sha1:"
 
@@ -132,6 +137,7 @@ class Records:
         self.plain = data[:2] != b"\x1f\x8b"
         self.data, self.at, self.buf = data, 0, bytearray()
         self.z = None if self.plain else zlib.decompressobj(31)
+        self.cut = False  # whether the file ended inside the record that was yielded last
 
     def _more(self) -> bool:
         piece = self.data[self.at: self.at + (1 << 20)]
@@ -160,11 +166,18 @@ class Records:
         while True:
             while (end := self.buf.find(CRLF + CRLF)) < 0:
                 if not self._more():
-                    return
-            lines = self._take(end + 4).decode("utf-8", "replace").strip("\r\n").split("\r\n")
+                    self.cut = bool(bytes(self.buf).strip())
+                    end = len(self.buf)
+                    break
+            if end == len(self.buf) and not self.cut:
+                return
+            lines = bytes(self.buf[:end]).decode("utf-8", "replace").strip("\r\n").split("\r\n")
+            del self.buf[: end + 4]
             headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-            block = self._take(int(headers.get("content-length", "0")))
+            block = None if self.cut else self._take(_int(headers.get("content-length")) or 0)
             if block is None:
+                self.cut = True
+                yield headers, bytes(self.buf)
                 return
             yield headers, block
             self._take(4)
@@ -287,16 +300,19 @@ def _reader(keep: bool) -> Callable:
         for b in batches:
             for i in range(b.num_rows):
                 rows, size = [], 0
-                for h, block in Records(b.column(0)[i].as_py()):
+                records = Records(b.column(0)[i].as_py())
+                for h, block in records:
                     kind = h.get("warc-type")
-                    if kind not in ("response", "revisit", "continuation"):
-                        continue
+                    if kind not in ("response", "revisit", "continuation") and "warc-segment-number" not in h and not records.cut:
+                        continue  # whole records of other types
                     own = (h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-refers-to"), h.get("warc-payload-digest"))
                     part = None
                     if "warc-segment-number" in h:
                         part = (h.get("warc-segment-origin-id") or own[0], _int(h["warc-segment-number"]) or 0,
                                 _int(h.get("warc-segment-total-length")), block)
                         rest = (None,) * 5
+                    elif records.cut:
+                        rest = ("wrong length", 0, None, None, None)
                     elif kind == "revisit":
                         rest = _revisit(h, block)
                     else:
@@ -336,6 +352,8 @@ def _folder(keep: bool) -> Callable:
                     origin, f, first = p["origin"], Fold(keep), None
                 if own["record_type"] != "continuation":
                     first = own
+                    if own["record_type"] in UNFRAMED:
+                        f.payload.state = "plain"  # the block is the payload
                 f.add(p["number"], p["total"], p["block"])
         if f is not None:
             yield done()

@@ -53,3 +53,11 @@ def test_empty_tables(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = decontaminate(documents, spark.read.parquet(f"{SF}/benchmark.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_long_words_are_not_broadcast(spark):
+    long_ = "z" * 4000
+    docs = spark.createDataFrame([(1, f"a {long_} b"), (2, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, long_), (8, "b")], "item_id long, text string")
+    rows = lambda **kw: sorted(map(str, decontaminate(docs, items, **kw).collect()))
+    assert rows() == rows(broadcast_bytes=1000) and "contaminated" not in rows()[0]

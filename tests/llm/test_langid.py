@@ -77,3 +77,11 @@ def test_temperature():
     z = rng.normal(size=(4000, 3))
     y = np.array([rng.choice(3, p=p) for p in langid.softmax(z)])
     assert abs(np.log(langid.calibrate(z * 5, y) / 5)) < 0.25
+
+
+def test_more_languages_than_the_bound_are_an_error(spark):
+    import pytest
+    rows = [(i, f"text number {i} of some words", f"l{i % 3}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.train(df, max_languages=2)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import licenses as L
@@ -61,3 +62,14 @@ def test_every_known_sentence_has_an_anchor_and_a_rule_of_known_ids():
     import re
     assert all(re.search(L.ANCHOR, s) for forms in L.SENTENCES.values() for s in forms)
     assert {x for _, run in L.RULES for x in run} <= set(L.SENTENCES)
+
+
+def test_further_notices_and_own_tables(spark):
+    rows = [(1, "Licensed under the Mozilla Public License, version 2.0."), (2, "x\nSPDX-License-Identifier: ISC\ny"), (3, "See: CC BY-SA 4.0"),
+            (4, "Our House License applies.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.id: r.licenses for r in L.scan(df).collect()} == {1: "MPL-2.0", 2: "ISC", 3: "CC-BY-SA-4.0", 4: ""}
+    own = L.scan(df, sentences={"House": ("Our House License applies",)}, rules=(("House", ("House",)),))
+    assert {r.id: r.licenses for r in own.collect()} == {1: "", 2: "", 3: "", 4: "House"}
+    with pytest.raises(ValueError):
+        L.scan(df, sentences={"A": ("nothing that is looked for",)})

@@ -91,3 +91,19 @@ def test_chunked_framing_in_any_pieces(body, chunk, piece):
     data = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.chunked(body, chunk)
     p = warc.Payload()
     assert b"".join(p.feed(data[i: i + piece]) for i in range(0, len(data), piece)) == body and p.ended()
+
+
+def test_cut_records_and_segments_of_other_types(spark, tmp_path):
+    head = b"HTTP/1.1 200 OK\r\n\r\n"
+    whole = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<1>")], head + b"body")
+    cut = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<2>")], head + b"another body")[:-9]
+    (tmp_path / "a.warc").write_bytes(whole + cut)
+    (tmp_path / "b.warc").write_bytes(whole.replace(b"<1>", b"<3>") + b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Rec")
+    part = lambda kind, n, block, more=(): warc.record([("WARC-Type", kind), ("WARC-Record-ID", f"<s{n}>"), *more,
+                                                         ("WARC-Segment-Number", str(n))], block)
+    (tmp_path / "c.warc").write_bytes(part("resource", 1, b"first half, ") + part("continuation", 2, b"second", [
+        ("WARC-Segment-Origin-ID", "<s1>"), ("WARC-Segment-Total-Length", "18")]) + warc.record([("WARC-Type", "metadata"), ("WARC-Record-ID", "<m>")], b"x"))
+    got = {r.record_id: r for r in warc.read_records(spark, str(tmp_path / "*.warc")).collect()}
+    assert set(got) == {"<1>", "<2>", "<3>", None, "<s1>"}
+    assert got["<1>"].status == got["<3>"].status == "ok" and got["<2>"].status == got[None].status == "wrong length"
+    assert got["<s1>"].status == "ok" and got["<s1>"].record_type == "resource" and bytes(got["<s1>"].payload) == b"first half, second"

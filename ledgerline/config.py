@@ -24,10 +24,10 @@ class PipelineConfig:
     min_history: int = 6
     null_rate_warn: float = 0.05
     accepted_categories: tuple[str, ...] = field(default=DEFAULT_ACCEPTED_CATEGORIES)
-    # percentile_approx accuracy used only to bracket an exact quantile: the
-    # bracket keeps about 6 * n / accuracy values of a group for the exact step
+    # percentile_approx accuracy, used only to place the bins that narrow a huge
+    # group down to the values around an exact quantile
     quantile_accuracy: int = 100000
-    # exact quantile plans: "simple" (percentile aggregate) or "bracketed" (skew-split)
+    # exact quantile plans: "simple" (percentile aggregate) or "bracketed" (counted bins)
     median_method: str = "bracketed"
     cap_method: str = "bracketed"
     # how the exponential smoothing is started: "first_seasons", or "estimated" jointly with its weights

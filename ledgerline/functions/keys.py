@@ -4,7 +4,9 @@ A global ``Window.orderBy`` without a partition moves every row into one task.
 Instead: range-partition on the ordering (tie-break columns included so even a
 hot leading key is split across partitions), sort inside each partition, write
 the rows with their partition number and their position as a columnar stage,
-count rows per partition from the one narrow column (as many rows as
+having written the input itself before unless it is a table's projection (its
+count, the sample for the ranges and the numbering would each compute it), count
+rows per partition from the one narrow column (as many rows as
 partitions: a broadcast with a proven bound) and add the running offsets. Ids
 and counts come from one materialization, so a recomputed task cannot change
 them. ``materialize.cleanup`` deletes the stage once the result is written.
@@ -29,11 +31,17 @@ def _sort_exprs(order_cols) -> list[Column]:
     return out
 
 
-def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | None = None) -> DataFrame:
+def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | None = None,
+                  computed: bool = True) -> DataFrame:
     """Add ``name`` (bigint, 1..n) numbering rows in ``order_cols`` order; the
     other columns are unchanged. Ties in ``order_cols`` are numbered arbitrarily,
-    as with ``row_number``; pass tie-break columns to make it deterministic."""
+    as with ``row_number``; pass tie-break columns to make it deterministic.
+    ``computed=False``: ``df`` only projects a written table, so reading it again
+    is cheaper than writing it; otherwise it is computed once and written."""
     spark = df.sparkSession
+    columns = df.columns
+    if computed:
+        df = materialize(df, f"input-{name}")
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PARTITION_ROWS))
     order = _sort_exprs(order_cols)
     # the lower 33 bits of the id are the row's position in its partition
@@ -47,4 +55,4 @@ def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | No
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("_pid").alias("_of"), F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
     keyed = staged.join(F.broadcast(offsets), F.col("_pid") == F.col("_of"))
-    return keyed.select((F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(name), *[F.col(c) for c in df.columns])
+    return keyed.select((F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(name), *[F.col(c) for c in columns])

@@ -6,6 +6,9 @@ whole-stage code generation; no Python runs per row.
 
 from __future__ import annotations
 
+from functools import cache
+from itertools import chain
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +19,16 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 SPACE_CLASS = (r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 EDGE_SPACE_PATTERN = rf"\A{SPACE_CLASS}+|{SPACE_CLASS}+\z"
-WORD_RUN_PATTERN = r"(\p{L}+|[^\p{L}]+)"
+# A run of cased characters, or of others.
+WORD_RUN_PATTERN = r"([\p{IsLowercase}\p{IsUppercase}\p{Lt}]+|[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]+)"
+FIRST_EXCEPTION = "\u00df"
+
+
+@cache
+def title_exceptions() -> dict[str, str]:
+    """Characters whose title case is not their upper case (ligatures, digraphs, iota subscripts)."""
+    chars = map(chr, range(ord(FIRST_EXCEPTION), 0x10000))
+    return {c: c.title() for c in chars if c.title() != c.upper()}
 
 
 def _c(c) -> Column:
@@ -29,25 +41,34 @@ def strip_ws(c) -> Column:
 
 
 def title_case(c) -> Column:
-    """str.title(): upper-case the first letter of every letter run, lower-case the rest.
+    """str.title(): the first character of every run of cased characters in
+    title case, the rest in lower case.
 
     ``initcap`` only splits on spaces ('usb-c' -> 'Usb-c'); this splits on any
-    non-letter ('usb-c' -> 'Usb-C'), like Python.
+    uncased character ('usb-c' -> 'Usb-C'). Characters whose title case differs
+    from their upper case ('\u00df' -> 'Ss') are looked up; no others are.
     """
     runs = F.regexp_extract_all(F.lower(_c(c)), F.lit(WORD_RUN_PATTERN), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30))),
-        "")
+    special = F.create_map(*[F.lit(x) for x in chain.from_iterable(title_exceptions().items())])
+
+    def titled(run):
+        first = F.substring(run, 1, 1)
+        head = F.when(first < F.lit(FIRST_EXCEPTION), F.upper(first)) \
+            .otherwise(F.coalesce(F.try_element_at(special, first), F.upper(first)))
+        return F.concat(head, F.substring(run, 2, 1 << 30))
+    return F.array_join(F.transform(runs, titled), "")
 
 
 def safe_double(c) -> Column:
     """to_numeric(errors='coerce'): a number string -> double, anything else -> null.
 
     The pattern guard rejects what Spark would otherwise accept ('2.5d', 'NaN',
-    'Infinity'), so no non-finite value ever reaches a comparison.
+    'Infinity'), and a number beyond the doubles ('1e400') is invalid too, so no
+    non-finite value ever reaches a comparison or a sum.
     """
     s = strip_ws(c)
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    number = s.try_cast("double")
+    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def safe_date(c) -> Column:

@@ -3,12 +3,11 @@
 The order matters: product medians see only rows that survived the first five
 rules, and category caps see normalized categories.
 
-Plan shape: one aggregation for the full-row de-duplication, written once
-because several branches read it; everything up to the imputation is a narrow
-projection of that table. Medians are computed only for products that have a
-bad price, and only the rows with a bad price are joined to them. The table
-before the caps is written once: the caps read two of its columns, the result
-reads the rest. Join strategies are left to AQE.
+Plan shape: the distinct rows are parsed, filtered and written once with typed
+columns, as several branches read them. The imputation counts (product, price)
+once; which products need a median, and the medians themselves, come from those
+counts, and only the rows with a bad price are joined to them. The caps read
+the few columns that the amounts depend on. Join strategies are left to AQE.
 """
 
 from __future__ import annotations
@@ -18,12 +17,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.config import PipelineConfig
 from ledgerline.functions.materialize import materialize
-from ledgerline.functions.quantile import exact_group_quantile
+from ledgerline.functions.quantile import exact_group_quantile, histogram, quantile_of_histogram
 from ledgerline.functions.text import np_round2, safe_date, safe_double, strip_ws, title_case
 from ledgerline.schema import NUMERIC_COLUMNS, RAW_COLUMNS
 
 CFG = PipelineConfig()
 
+
 def dedup(raw: DataFrame) -> DataFrame:
     """CL1: drop exact full-row duplicates (nulls compare equal)."""
     return raw.select(*RAW_COLUMNS).dropDuplicates()
@@ -49,10 +49,14 @@ def impute_price(df: DataFrame, cfg: PipelineConfig = CFG) -> DataFrame:
     (median over non-null prices, negatives included; a null product_id gets
     no median); rows still without a non-negative price are dropped."""
     bad = F.col("unit_price").isNull() | (F.col("unit_price") < 0)
-    need = df.where(bad & F.col("product_id").isNotNull()).select("product_id").distinct()
-    medians = exact_group_quantile(df.join(need, "product_id", "left_semi"), ["product_id"],
-                                   "unit_price", 0.5, out="_median", accuracy=cfg.quantile_accuracy,
-                                   method=cfg.median_method)
+    counts = histogram(df.where(F.col("product_id").isNotNull()), ["product_id"], "unit_price")
+    need = counts.where(F.col("_v").isNull() | (F.col("_v") < 0)).select("product_id").distinct()
+    counts = counts.join(need, "product_id", "left_semi")
+    if cfg.median_method == "simple":
+        medians = counts.groupBy("product_id").agg(F.percentile("_v", 0.5, F.col("_c")).alias("_median"))
+    else:
+        medians = quantile_of_histogram(counts, ["product_id"], 0.5, "_median", cfg.quantile_accuracy)
+    medians = materialize(medians, "medians")   # one row per product with a bad price; several branches read it
     fixed = (df.where(bad).join(medians, "product_id", "left")
              .withColumn("unit_price", F.col("_median")).drop("_median"))
     return df.where(~bad).unionByName(fixed).where(F.col("unit_price") >= 0)
@@ -106,9 +110,9 @@ def clean(raw: DataFrame, cfg: PipelineConfig = CFG, dedup_after: bool = False,
     ``dedup_after=True`` additionally removes rows that became identical after
     normalization (the original de-duplicates only before it).
     ``deduplicated=True``: ``raw`` is a written table of distinct rows (CL1 done)."""
-    df = raw.select(*RAW_COLUMNS) if deduplicated else materialize(dedup(raw), "dedup")
-    df = drop_unattributable(coerce_numbers(parse_dates(df)))
+    distinct = raw.select(*RAW_COLUMNS) if deduplicated else dedup(raw)
+    df = materialize(drop_unattributable(coerce_numbers(parse_dates(distinct))), "typed")
     df = recompute_sales(normalize_text(fill_discount(impute_price(df, cfg))))
     if dedup_after:
-        df = df.dropDuplicates()
-    return winsorize(materialize(df, "before-caps"), cfg).select(*RAW_COLUMNS)
+        df = materialize(df.dropDuplicates(), "before-caps")
+    return winsorize(df, cfg).select(*RAW_COLUMNS)

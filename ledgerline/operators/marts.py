@@ -102,7 +102,7 @@ def fact_sales(stg: DataFrame, dim_cust: DataFrame | None = None, dim_prod: Data
     """MD7: order-line fact with sale_id and the dimensions' surrogate keys."""
     dim_cust = dim_cust if dim_cust is not None else dim_customer(stg)
     dim_prod = dim_prod if dim_prod is not None else dim_product(stg)
-    keyed = surrogate_key(stg, FACT_ORDER, "sale_id")
+    keyed = surrogate_key(stg, FACT_ORDER, "sale_id", computed=False)
     cust = dim_cust.select("customer_key", "customer_id")
     prod = dim_prod.select("product_key", "product_id")
     f = keyed.join(cust, "customer_id", "left").join(prod, "product_id", "left")

@@ -116,7 +116,7 @@ def snk_metadata(spark, d):
   SELECT lang, sha256(string_agg(digest, '' ORDER BY node)) AS digest FROM n GROUP BY lang""")
 def src_tree_digest(spark, d):
     """SC20: the digest that merges, of each language's texts in the order of their ids."""
-    docs = surrogate_key(spark.read.parquet(f"{d}/documents.parquet").select("lang", "doc_id", "text"), ["lang", "doc_id"], "place")
+    docs = surrogate_key(spark.read.parquet(f"{d}/documents.parquet").select("lang", "doc_id", "text"), ["lang", "doc_id"], "place", computed=False)
     first = docs.groupBy(F.col("lang").alias("of")).agg(F.min("place").alias("first"))
     docs = docs.join(F.broadcast(first), F.col("lang").eqNullSafe(F.col("of")))
     lines = docs.select("lang", (F.col("place") - F.col("first")).alias("line"), F.col("text").cast("binary").alias("value"))

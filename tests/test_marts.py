@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import surrogate_key
+from ledgerline.functions import quantile as Qt
 from ledgerline.functions.quantile import exact_group_quantile
 from ledgerline.operators import expectations as X
 from ledgerline.operators import marts as M
@@ -75,6 +76,34 @@ def test_exact_quantile_matches_percentile(spark):
         assert diffs == 0
 
 
+def test_quantiles_of_narrowed_groups(spark):
+    """Groups beyond the window's rows are cut down to counted bins, the result stays exact."""
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        F.when(F.col("id") % 11 > 0, (F.col("id") * 7919) % 20011 / 8).alias("v"))
+    hist = Qt.histogram(df, ["g"], "v")
+    for q in (0.0, 0.01, 0.5, 0.99, 1.0):
+        for accuracy in (20, 10000):
+            a = Qt.quantile_of_histogram(hist, ["g"], q, "a", accuracy, window_rows=150)
+            b = df.groupBy("g").agg(F.percentile("v", q).alias("p"))
+            out = a.join(b, "g").collect()
+            assert len(out) == 6 and all(abs(r["a"] - r["p"]) < 1e-9 for r in out), (q, accuracy)
+    empty = df.where("v < 0")
+    assert exact_group_quantile(empty, ["g"], "v", 0.5).count() == 0
+
+
+def test_key_input_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(5000).select((F.col("id") * 37 % 5000).alias("id")).mapInArrow(count, "id bigint")
+    keyed = surrogate_key(df, ["id"], "k", num_partitions=4)
+    assert keyed.where("k = id + 1").count() == 5000 and seen.value == 5000
+
+
 def test_hot_key_skew(spark):
     """One key holding a third of the rows: exact quantile and surrogate keys stay exact."""
     n = 30000

@@ -3,7 +3,9 @@ and says which of its fields come out how, or that the line goes."""
 
 import pytest
 from conftest import CLEAN_BASE, row, rows
+from pyspark.sql import functions as F
 
+from ledgerline.functions import text as T
 from ledgerline.operators import clean as C
 
 GONE = None
@@ -78,3 +80,14 @@ def test_sales_are_capped_per_category(spark):
     out = {r["order_id"]: r["sales"] for r in C.clean(rows(spark, *lines)).collect()}
     assert out["many200"] == out["many199"] == 1980.0 and out["many198"] == 1980.0 and out["many197"] == 1970.0
     assert abs(out["few2"] - 1.98) < 1e-9
+
+
+@pytest.mark.parametrize("text", ["\u00dfa stra\u00dfe", "\ufb01nd it", "\u01c6ep \u01c4EP", "usb-c 4k x2y", "\u4e2da b", "o'neil",
+                                  "\u1f80b", "\u00e9COLE \u00f1u", "\u039f\u0394\u039f\u03a3 a", "\u0149x", ""])
+def test_title_case_is_that_of_python(spark, text):
+    assert spark.range(1).select(T.title_case(F.lit(text)).alias("t")).first()["t"] == text.title()
+
+
+@pytest.mark.parametrize("text,want", [("1e400", None), ("-1e400", None), ("1e308", 1e308), (" 2.5\t", 2.5), ("inf", None)])
+def test_numbers_are_finite(spark, text, want):
+    assert spark.range(1).select(T.safe_double(F.lit(text)).alias("x")).first()["x"] == want

@@ -66,9 +66,11 @@ def safe_double(c) -> Column:
     'Infinity'), and a number beyond the doubles ('1e400') is invalid too, so no
     non-finite value ever reaches a comparison or a sum.
     """
-    s = strip_ws(c)
-    number = s.try_cast("double")
-    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(number) < F.lit(float("inf"))), number)
+    def number(text):
+        return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(text.try_cast("double")) < F.lit(float("inf"))),
+                      text.try_cast("double"))
+    # most numbers carry no white space: only the others are stripped
+    return F.coalesce(number(_c(c)), number(strip_ws(c)))
 
 
 def safe_date(c) -> Column:

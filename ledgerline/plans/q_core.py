@@ -9,7 +9,7 @@ from ledgerline.operators import clean as C
 from ledgerline.operators import marts as M
 from ledgerline.operators import profile as P
 from ledgerline.operators import quality as Q
-from ledgerline.operators.metrics import MONTH
+from ledgerline.operators.metrics import MONTH, daily_bitmaps
 from ledgerline.plans.oracle import RAW14, num_sql, with_chain
 from ledgerline.plans.registry import query
 from ledgerline.sources.fixture import TABLES, raw_from_tables
@@ -60,6 +60,10 @@ def fact_by_month(spark, d):
     return out.withColumn(MONTH, F.col(MONTH).cast("date"))
 
 
+def bitmaps_of(spark, d):
+    return _stage(spark, d, "daily_bitmaps", lambda: daily_bitmaps(mart_of(spark, d, "fact_sales")))
+
+
 # ---------------------------------------------------------------- quality
 _DATE_OK = ("CASE WHEN regexp_full_match(trim(order_date), '[0-9]{4}-[0-9]{2}-[0-9]{2}') "
             "THEN CAST(try_strptime(trim(order_date), '%Y-%m-%d') AS DATE) END")
@@ -174,7 +178,9 @@ def prf_raw_vs_clean(spark, d):
 
 # ---------------------------------------------------------------- cleaning steps
 def _kept(spark, d):
-    return C.drop_unattributable(C.coerce_numbers(C.parse_dates(C.dedup(raw_of(spark, d)))))
+    """The distinct rows, parsed and filtered (CL1-CL5), written once."""
+    return _stage(spark, d, "kept", lambda: C.drop_unattributable(
+        C.coerce_numbers(C.parse_dates(C.dedup(raw_of(spark, d))))))
 
 
 @query("cl_dedup", with_chain("SELECT * FROM dedup"))

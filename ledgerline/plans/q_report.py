@@ -6,7 +6,7 @@ from ledgerline.operators import expectations as X
 from ledgerline.operators import marts as M
 from ledgerline.operators import metrics as R
 from ledgerline.plans.oracle import money, with_chain
-from ledgerline.plans.q_core import fact_by_month, mart_of, stg_of
+from ledgerline.plans.q_core import bitmaps_of, fact_by_month, mart_of, stg_of
 from ledgerline.plans.registry import query
 
 CTE_OF = {"stg_sales": "stg", "int_customer_sales": "int_cust", "int_product_sales": "int_prod",
@@ -180,3 +180,17 @@ def yoy_calendar(spark, d):
 def kpi_new_customers_period(spark, d):
     """AG16 for one period (a calendar year of the data)."""
     return R.new_customers_between(mart_of(spark, d, "int_customer_sales"), "1996-01-01", "1996-12-31")
+
+
+# Fixed report periods: a calendar year, and a span of days that overlaps it.
+PERIODS = {"year 1996": ("1996-01-01", "1996-12-31"), "turn of the year": ("1996-12-15", "1997-01-20")}
+
+
+@query("kpi_distinct_periods", with_chain(" UNION ALL ".join(f"""SELECT '{name}' AS period,
+    count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_key) AS total_customers,
+    (SELECT count(*) FROM int_cust WHERE customer_id IS NOT NULL AND first_order_date BETWEEN DATE '{a}' AND DATE '{b}')
+      AS new_customers
+  FROM fact WHERE date_key BETWEEN DATE '{a}' AND DATE '{b}'""" for name, (a, b) in PERIODS.items())))
+def kpi_distinct_periods(spark, d):
+    """AG13, AG15 and AG16 for two periods from the daily bitmaps; the fact is not read again."""
+    return R.distinct_in_periods(bitmaps_of(spark, d), PERIODS)

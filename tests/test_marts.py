@@ -3,8 +3,8 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.keys import surrogate_key
 from ledgerline.functions import quantile as Qt
+from ledgerline.functions.keys import surrogate_key
 from ledgerline.functions.quantile import exact_group_quantile
 from ledgerline.operators import expectations as X
 from ledgerline.operators import marts as M
@@ -56,6 +56,49 @@ def test_data_tests_pass_and_fail(spark):
     assert [(r["test"], r["failures"]) for r in failed] == [("accepted_values", 2)]   # Tools, Toys
 
 
+def test_checks_count_what_they_say(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, None)], "k int, v string")
+    child = spark.createDataFrame([(1, "x"), (None, "y"), (3, "y"), (3, None), (4, "x")], "k int, c string")
+    checks = [X.Check("p", "k", "unique"), X.Check("p", "v", "not_null"), X.Check("p", "v", "unique"),
+              X.Check("c", "k", "not_null"), X.Check("c", "c", "accepted_values", values=("y",)),
+              X.Check("c", "k", "relationships", to=("p", "k"))]
+    res = X.run_checks({"p": parent, "c": child}, checks)
+    assert [(r["check_id"], r["failures"]) for r in res.orderBy("check_id").collect()] == [
+        (1, 1), (2, 1), (3, 0), (4, 1), (5, 1), (6, 3)]
+    assert [r["passed"] for r in res.orderBy("check_id").collect()] == [False, False, True, False, False, False]
+    none = X.run_checks({"p": parent.limit(0), "c": child.limit(0)}, checks).collect()
+    assert len(none) == 6 and all(r["passed"] for r in none)
+
+
+def test_each_model_is_read_once_by_its_checks(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(300).selectExpr("id as k", "id % 7 as c").mapInArrow(count, "k bigint, c bigint")
+    checks = [X.Check("m", "k", kind) for kind in ("unique", "not_null")] + [
+        X.Check("m", "c", "relationships", to=("m", "k"))]
+    assert all(r["passed"] for r in X.run_checks({"m": df}, checks).collect()) and seen.value == 300
+
+
+def test_distinct_counts_of_periods_from_bitmaps(spark):
+    n = 90_000   # numbers of three bitmap buckets
+    fact = spark.range(1, n + 1).selectExpr(
+        "id as sale_id", "concat('O', if(id % 3 = 0, 0, id div 2)) as order_id",
+        "date_add(date'2024-01-01', cast(id * 31 % 60 as int)) as date_key", "if(id % 17 = 0, null, id % 70001) as customer_key")
+    periods = {"a": ("2024-01-05", "2024-01-20"), "b": ("2024-01-15", "2024-02-10"), "none": ("2030-01-01", "2030-12-31")}
+    out = {r["period"]: r for r in R.distinct_in_periods(R.daily_bitmaps(fact), periods).collect()}
+    firsts = fact.where("customer_key is not null").groupBy("customer_key").agg(F.min("date_key").alias("first"))
+    for name, (a, b) in periods.items():
+        want = fact.where(F.col("date_key").between(a, b)).agg(F.count_distinct("order_id"), F.count_distinct("customer_key")).first()
+        new = firsts.where(F.col("first").between(a, b)).count()
+        assert (out[name]["total_orders"], out[name]["total_customers"], out[name]["new_customers"]) == (*want, new)
+    empty = R.distinct_in_periods(R.daily_bitmaps(fact.limit(0)), periods).collect()
+    assert [r["new_customers"] for r in empty] == [0, 0, 0]
+
+
 def test_surrogate_key_equals_row_number(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey")
     keyed = surrogate_key(df, ["l_orderkey", "l_linenumber", "l_partkey"], "k", num_partitions=5)

@@ -30,7 +30,7 @@ def test_end_to_end_job(spark, tmp_path):
     fc = spark.read.parquet(res.paths["parquet"]).collect()
     assert len(fc) == 6 and all(r["upper_bound"] >= r["lower_bound"] for r in fc)
     assert res.best_models and sum(r["count"] for r in res.best_models) == 1
-    mirror = spark.read.parquet(res.paths["forecast"])
+    mirror = K.read_table(spark, res.paths["forecast"])
     assert res.forecast_mode == "fallback" and mirror.columns == [
         "forecast_date", "predicted_sales", "lower_bound", "upper_bound", "model_name", "generated_at"]
 
@@ -41,7 +41,7 @@ def test_job_targets_and_paths(spark, tmp_path):
                   cloud_target=str(tmp_path / "cloud"), forecast_target=str(tmp_path / "mirror"))
     assert res.mode == res.forecast_mode == "target"
     assert res.paths["sales_staging"] == str(tmp_path / "cloud") and res.paths["forecast"] == str(tmp_path / "mirror")
-    assert spark.read.parquet(res.paths["forecast"]).count() == 6
+    assert K.read_table(spark, res.paths["forecast"]).count() == 6
 
 
 def test_job_ends_when_a_data_test_fails(spark, tmp_path):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.schema import RAW_COLUMNS, RAW_SCHEMA
-from ledgerline.sources.records import csv_records, numbered_lines, tree_digest
+from ledgerline.sources.records import csv_records, file_digests, numbered_lines, tree_digest
 
 # The tokens pandas.read_csv reads as missing.
 NA_TOKENS = (
@@ -85,8 +85,10 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
 
 
-#: The largest file that the binary reader takes; beyond, the digest is a tree over the lines.
+#: The largest file that one task digests; beyond, the digest is a tree over the lines.
 WHOLE_FILE = (1 << 31) - 1 - (1 << 20)
+#: Files that the line readers would unpack: their bytes are read whole.
+PACKED = ("gz", "bz2", "deflate", "lz4", "snappy", "zst", "zstd", "passthrough")
 
 
 def ingest_metadata(spark: SparkSession, path: str, source: str = "file", multi_line: bool | str = False) -> DataFrame:
@@ -94,13 +96,17 @@ def ingest_metadata(spark: SparkSession, path: str, source: str = "file", multi_
     row/column count, sha256, the kind of that digest, and the path.
 
     ``digest_kind`` is ``sha256`` where the digest is of the file's bytes (one
-    task per file), and ``sha256-lines`` for files beyond ``WHOLE_FILE``: there
+    task per file, which holds a batch of its lines at a time), and ``sha256-lines`` for files beyond ``WHOLE_FILE``: there
     it is ``records.tree_digest`` of the lines in order, with the length of the
     file; it is computed from splits and does not depend on them."""
-    files = spark.read.format("binaryFile").load(path).select(
-        F.col("_metadata.file_path").alias("path"), F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"), "length", "content")
-    digests = files.where(F.col("length") <= WHOLE_FILE).select(
-        "path", "filename", F.sha2("content", 256).alias("sha256"), F.lit("sha256").alias("digest_kind"))
+    name = F.element_at(F.split(F.col("path"), "/"), -1).alias("filename")
+    found = spark.read.format("binaryFile")
+    files = found.load(path).select(F.col("_metadata.file_path").alias("path"), name, "length")
+    packed = found.option("pathGlobFilter", f"*.{{{','.join(PACKED)}}}").load(path).where(F.col("length") <= WHOLE_FILE)
+    packed = packed.select(F.col("_metadata.file_path").alias("file"), F.sha2("content", 256).alias("sha256"))
+    own = packed.unionByName(file_digests(spark, path, WHOLE_FILE, PACKED))
+    digests = files.where(F.col("length") <= WHOLE_FILE).join(own, F.col("path") == F.col("file"), "left").select(
+        "path", "filename", "sha256", F.lit("sha256").alias("digest_kind"))
     large = files.where(F.col("length") > WHOLE_FILE).select("path", "filename", "length")
     if large.limit(1).count():
         lines = numbered_lines(spark, path)

@@ -10,12 +10,15 @@ number. That table is joined back to the lines without moving them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.materialize import table_path
 from ledgerline.session import ship_package
 
 #: Lines that one node of the digest's lowest level covers.
@@ -62,6 +65,63 @@ def tree_digest(lines: DataFrame, keys: list[str]) -> DataFrame:
     return level(nodes, keys, "node")
 
 
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, size, value) lines of whole files in order -> (file, sha256) of the files' bytes.
+
+    The line reader drops the last line feed and a byte order mark; the size
+    tells whether they were there (null for a file that it changed otherwise)."""
+    mark, at, size, fed, plain, marked = b"\xef\xbb\xbf", None, 0, 0, None, None
+
+    def ended() -> pa.RecordBatch:
+        short = size - fed - len(mark) if size - fed >= len(mark) else size - fed
+        digest = plain if size - fed < len(mark) else marked
+        if short == 1:
+            digest.update(b"\n")
+        return pa.record_batch([pa.array([at]), pa.array([digest.hexdigest() if short in (0, 1) else None], pa.string())],
+                               ["file", "sha256"])
+
+    for b in batches:
+        files = b.column("file")
+        i = 0
+        while i < len(files):
+            file = files[i].as_py()
+            same = pc.index(pc.not_equal(files.slice(i), file), True).as_py()
+            n = len(files) - i if same < 0 else same
+            if file != at:
+                if at is not None:
+                    yield ended()
+                at, size, fed = file, b.column("size")[i].as_py(), 0
+                plain, marked = hashlib.sha256(), hashlib.sha256(mark)
+            else:
+                plain.update(b"\n"), marked.update(b"\n")
+                fed += 1
+            data = b"\n".join(b.column("value").slice(i, n).to_pylist())
+            plain.update(data), marked.update(data)
+            fed, i = fed + len(data), i + n
+    if at is not None:
+        yield ended()
+
+
+def file_digests(spark: SparkSession, path: str, largest: int, packed: tuple[str, ...]) -> DataFrame:
+    """(file, sha256) of the bytes of each file of at most ``largest`` bytes that
+    has a line and no ``packed`` ending, written: one task reads a file's lines
+    in order and holds a batch of them at a time."""
+    ship_package(spark)
+    # a session of its own, as files are not split here: as many partitions as files
+    whole = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if whole.conf.isModifiable(k):
+            whole.conf.set(k, v)
+    whole.conf.set("spark.sql.files.maxPartitionBytes", str(largest + 1))
+    whole.conf.set("spark.sql.files.openCostInBytes", str(largest + 1))
+    name, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+    lines = whole.read.option("lineSep", "\n").text(path).where(size <= largest).where(~name.rlike(rf"\.({'|'.join(packed)})$"))
+    lines = lines.select(name.alias("file"), size.alias("size"), F.col("value").cast("binary").alias("value"))
+    out = table_path(lines, "digests")
+    lines.mapInArrow(_digest, "file string, sha256 string").write.parquet(out)
+    return spark.read.schema("file string, sha256 string").parquet(out)
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file, split, open, value) lines in order -> (file, split, place, part, text).
 

@@ -32,14 +32,14 @@ def _sort_exprs(order_cols) -> list[Column]:
 
 
 def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | None = None,
-                  computed: bool = True) -> DataFrame:
+                  computed: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Add ``name`` (bigint, 1..n) numbering rows in ``order_cols`` order; the
-    other columns are unchanged. Ties in ``order_cols`` are numbered arbitrarily,
+    other columns (those of ``keep``, if given: only these are written) are unchanged. Ties in ``order_cols`` are numbered arbitrarily,
     as with ``row_number``; pass tie-break columns to make it deterministic.
     ``computed=False``: ``df`` only projects a written table, so reading it again
     is cheaper than writing it; otherwise it is computed once and written."""
     spark = df.sparkSession
-    columns = df.columns
+    columns = keep or df.columns
     if computed:
         df = materialize(df, f"input-{name}")
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PARTITION_ROWS))
@@ -47,7 +47,7 @@ def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | No
     # the lower 33 bits of the id are the row's position in its partition
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_LIMIT - 1))
     staged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumns({"_pid": F.spark_partition_id(), "_pos": position}), f"key-{name}")
+                         .select(*columns, F.spark_partition_id().alias("_pid"), position.alias("_pos")), f"key-{name}")
     counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     too_many = counts.where(F.col("_cnt") > POSITION_LIMIT).limit(1).collect()
     if too_many:

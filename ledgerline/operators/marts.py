@@ -96,13 +96,15 @@ def dim_date(stg: DataFrame) -> DataFrame:
 # Fixed tie-break: order_id first, then every staging column, so sale_id is
 # deterministic even though order_id repeats.
 FACT_ORDER = STG_COLUMNS
+FACT_COLUMNS = ["order_id", "order_date", "customer_id", "product_id", "region", "country", "quantity",
+                "unit_price", "discount", "sales"]
 
 
 def fact_sales(stg: DataFrame, dim_cust: DataFrame | None = None, dim_prod: DataFrame | None = None) -> DataFrame:
     """MD7: order-line fact with sale_id and the dimensions' surrogate keys."""
     dim_cust = dim_cust if dim_cust is not None else dim_customer(stg)
     dim_prod = dim_prod if dim_prod is not None else dim_product(stg)
-    keyed = surrogate_key(stg, FACT_ORDER, "sale_id", computed=False)
+    keyed = surrogate_key(stg, FACT_ORDER, "sale_id", computed=False, keep=FACT_COLUMNS)
     cust = dim_cust.select("customer_key", "customer_id")
     prod = dim_prod.select("product_key", "product_id")
     f = keyed.join(cust, "customer_id", "left").join(prod, "product_id", "left")

@@ -109,3 +109,12 @@ def test_bitmaps_of_a_day_are_few(spark):
     got = R.distinct_in_periods(bits, {"all": ("2020-01-01", "2022-01-01"), "some": ("2020-02-01", "2020-02-10")}).collect()
     own = fact.where("date_key between '2020-02-01' and '2020-02-10'").agg(F.count_distinct("order_id"), F.count_distinct("customer_key")).first()
     assert tuple(got[0])[1:3] == (n, 50) and tuple(got[1])[1:3] == tuple(own)
+
+
+def test_only_kept_columns_are_written(spark):
+    """The fact's ids follow the whole row, but only the columns that it has are staged."""
+    from ledgerline.functions import keys as Ky
+    df = spark.createDataFrame([("b", 1, "z"), ("a", 2, "y"), ("a", 1, "x"), ("a", 1, "w")], "k string, v int, wide string")
+    got = Ky.surrogate_key(df, ["k", "v", "wide"], "id", keep=["k", "v"])
+    assert got.columns == ["id", "k", "v"] and "wide" not in spark.read.parquet(got.inputFiles()[0]).columns
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 1), (2, "a", 1), (3, "a", 2), (4, "b", 1)]

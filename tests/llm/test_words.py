@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import shingles, span_hashes, string_buffer, word_count, word_hashes, word_spans, words_column
+from ledgerline.llm.common import python_ready, shingles, span_hashes, string_buffer, word_count, word_hashes, word_spans, words_column
 from tests.llm.conftest import words
 
 TEXT = st.text(alphabet=st.sampled_from("aAbZz09 ,.\n\tÉéß你🎈-"), max_size=60)
@@ -48,3 +48,16 @@ def test_word_columns(spark):
     rows = df.select("i", words_column(F.col("t")).alias("w"), word_count(F.col("t")).alias("n")).collect()
     for r in rows:
         assert r.w == words(texts[r.i]) and r.n == len(r.w)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """A worker gets rows of long texts by few megabytes, however many rows a batch may have."""
+    python_ready(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    long_ = spark.range(24, numPartitions=1).selectExpr("repeat('long text ', 100000) AS text")
+    got = long_.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 24 and max(r.bytes for r in got) < 6 << 20

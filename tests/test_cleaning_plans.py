@@ -118,3 +118,30 @@ def test_only_kept_columns_are_written(spark):
     got = Ky.surrogate_key(df, ["k", "v", "wide"], "id", keep=["k", "v"])
     assert got.columns == ["id", "k", "v"] and "wide" not in spark.read.parquet(got.inputFiles()[0]).columns
     assert sorted(map(tuple, got.collect())) == [(1, "a", 1), (2, "a", 1), (3, "a", 2), (4, "b", 1)]
+
+
+def test_rows_are_not_shuffled_to_their_caps(spark):
+    """The caps, a few rows, go to the lines: these would else be sorted into as many tasks as there are categories."""
+    raw = rows(spark, *[row(CLEAN_BASE, order_id=str(i), unit_price=str(1 + i)) for i in range(3000)])
+    typed = C.normalize_text(C.coerce_numbers(C.parse_dates(raw)))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "8k")
+    try:
+        capped = C.winsorize(C.recompute_sales(C.fill_discount(typed)))
+        plan = capped._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert capped.count() == 3000 and capped.agg(F.max("sales")).first()[0] < 3000 * 4
+
+
+def test_imputation_counts_only_its_products(spark, monkeypatch):
+    """Also where the products with a bad price are too many to be sent to every executor."""
+    df = C.coerce_numbers(C.parse_dates(_dirty(spark))).where("product_id = 'r' or unit_price >= 0")
+    counted = []
+    histogram = C.histogram
+    monkeypatch.setattr(C, "histogram", lambda d, k, v: (counted.append(d), histogram(d, k, v))[1])
+    monkeypatch.setattr(Mt, "FEW_ROWS", 0)
+    C.impute_price(df)
+    assert {r["product_id"] for r in counted[0].select("product_id").distinct().collect()} == {"r"}

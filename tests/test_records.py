@@ -48,6 +48,16 @@ def test_one_file_in_many_splits(spark, tmp_path, small_splits, end, last):
         assert sorted(map(tuple, R.read_raw_csv(spark, p, multi_line="whole").collect()), key=str) == sorted(want, key=str)
 
 
+def test_a_record_is_parsed_once(spark, tmp_path):
+    """Not once for each of its fields; and the pieces at the edges of splits are put together once, not with every read."""
+    p = str(tmp_path / "one.csv")
+    _write(p, ["id", "a", "b"], _values(20))
+    plan = R.read_raw_csv(spark, p, multi_line=True)._jdf.queryExecution().optimizedPlan().toString()
+    parses = [line for line in plan.splitlines() if "from_csv(" in line and '"h' not in line and "inline" in line.lower()]
+    assert parses and all(line.count("from_csv(StructField(id") <= 1 for line in parses)
+    assert plan.count("MapInArrow") == 1
+
+
 def test_many_files_and_faults(spark, tmp_path, small_splits):
     for k in range(5):
         _write(str(tmp_path / f"f{k}.csv"), ["id", "a"], [(f"{k}-{i}", v) for i, v, _ in _values(30, k)])
